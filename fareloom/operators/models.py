@@ -53,7 +53,6 @@ def gbt(
         stepSize=rate,
         minInstancesPerNode=min_child,
         seed=seed,
-        cacheNodeIds=True,
     )
 
 
@@ -64,11 +63,27 @@ def elastic_net(label: str = LABEL, alpha: float = 0.1, l1_ratio: float = 0.5) -
 
 
 def random_forest(
-    label: str = LABEL, trees: int = 200, depth: int = 30, seed: int = 123
+    label: str = LABEL,
+    trees: int = 200,
+    depth: int = 30,
+    seed: int = 123,
+    min_child: int = 1,
+    node_memory_mb: int = 256,
 ) -> RandomForestRegressor:
-    """30 is the deepest tree Spark grows."""
+    """30 is the deepest tree Spark grows.
+
+    Deep trees are large: each task keeps its rows' node ids instead of being sent the trees
+    again in every pass. On very large inputs raise `min_child`, since the finished trees have to
+    fit on the driver, and `node_memory_mb`, which decides how many nodes one pass splits.
+    """
     return RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True
+        labelCol=label,
+        numTrees=trees,
+        maxDepth=depth,
+        seed=seed,
+        minInstancesPerNode=min_child,
+        cacheNodeIds=True,
+        maxMemoryInMB=node_memory_mb,
     )
 
 

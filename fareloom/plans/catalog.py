@@ -439,8 +439,8 @@ def regression_metrics(spark, d):
 
 @query
 def custom_metric(spark, d):
-    metric = M.squared_diff_plus_one("label", "prediction").alias("squared_diff_plus_one")
-    return rounded(_predictions(spark, d).agg(metric), "squared_diff_plus_one")
+    metric = F.round(M.squared_diff_plus_one("label", "prediction"), 2)
+    return _predictions(spark, d).agg(metric.alias("squared_diff_plus_one"))
 
 
 @query

@@ -166,7 +166,7 @@ SELECT trip_id, CAST(isodow(timezone('America/New_York',
          tpep_pickup_datetime AT TIME ZONE 'UTC')) >= 6 AS INTEGER) AS weekend_ny
 FROM trips""")
 ORACLES["is_weekend"] = over_trips("""
-SELECT trip_id, CASE WHEN dayofweek(tpep_pickup_datetime) IN (0 + 1e-9, 6) THEN 1 ELSE 0 END AS weekend
+SELECT trip_id, CASE WHEN dayofweek(tpep_pickup_datetime) IN (0, 6) THEN 1 ELSE 0 END AS weekend
 FROM trips""")
 ORACLES["epoch_and_calendar"] = over_trips("""
 SELECT trip_id,
@@ -273,7 +273,7 @@ SELECT trip_id, fare_amount, trip_distance, pickup_zip, dropoff_zip,
        ROUND(AVG(fare_amount) OVER {pickup} + 1e-9, 6) AS mean_fare_window_1h_pickup_zip,
        COUNT(*) OVER {pickup} AS count_trips_window_1h_pickup_zip,
        COUNT(*) OVER {dropoff} AS count_trips_window_30m_dropoff_zip,
-       CASE WHEN dayofweek(rd) IN (0 + 1e-9, 6) THEN 1 ELSE 0 END AS dropoff_is_weekend
+       CASE WHEN dayofweek(rd) IN (0, 6) THEN 1 ELSE 0 END AS dropoff_is_weekend
 FROM rounded""",
     )
 
@@ -385,7 +385,7 @@ FROM predictions""",
 ORACLES["custom_metric"] = sql(
     TRIPS,
     PREDICTIONS,
-    body=f"SELECT ROUND(SUM(POW(ABS({_E} + 1), 2)) + 1e-9, 6) AS squared_diff_plus_one FROM predictions",
+    body=f"SELECT ROUND(SUM(POW(ABS({_E} + 1), 2)), 2) AS squared_diff_plus_one FROM predictions",
 )
 ORACLES["validate"] = sql(
     TRIPS,

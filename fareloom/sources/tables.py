@@ -99,8 +99,12 @@ def create_feature_table(path: str, keys: str, ts_key: str, df: DataFrame) -> Fe
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched keys replaced, new keys inserted, all others kept."""
-    return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
+    """Matched keys replaced, new keys inserted, all others kept. A NULL key matches a NULL key."""
+    replaced = source.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return target.join(replaced, same, "left_anti").unionByName(source)
 
 
 def upsert_feature_table(table: FeatureTable, source: DataFrame) -> None:
@@ -109,7 +113,7 @@ def upsert_feature_table(table: FeatureTable, source: DataFrame) -> None:
     The key holds the timestamp and the month follows from it, so a replaced row is always in
     the month of its replacement. The merged months are written to the shared folder first and
     put in place from there: the table is never overwritten while it is being read, and a run
-    that dies in between can be repeated.
+    that dies in between can be repeated. Frames read before the upsert have to be read again.
     """
     spark = source.sparkSession
     assert_unique(source, table.primary_key)

@@ -76,7 +76,7 @@ def main(sf_dir: str, names: list[str]) -> int:
 
     spark = build_session(
         master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
