@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,47 +13,57 @@ LATENCY_LIMITS = {"avg_ms": 150.0, "p50_ms": 150.0, "p95_ms": 200.0, "p99_ms": 4
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Mapping[str, float], width: float = 1.0
+    df: DataFrame, value: str, probs: Mapping[str, float], width: float = 0.1
 ) -> DataFrame:
     """One row of linearly interpolated quantiles, computed without gathering the values.
 
-    Values are counted first, so repeats do not travel. A running count over buckets of `width`
-    gives each bucket the rank it starts at; ranks inside a bucket come from a window over that
-    bucket alone. The one global window sees one row per bucket, value range / width in number.
+    A first pass counts the values per bucket of `width`; the running count of those few rows
+    (value range / width) tells which buckets hold the wanted ranks. The second pass keeps the
+    values of those buckets only, at most two per quantile, and counts repeats before it sorts
+    within a bucket.
     """
-    counts = (
+    values = (
         df.select(F.col(value).cast("double").alias("v"))
         .dropna()
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("b", F.floor(F.col("v") / width).cast("long"))
     )
-    whole = W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        counts.groupBy("b")
-        .agg(F.sum("n").alias("bn"))
-        .select("b", F.coalesce(F.sum("bn").over(whole), F.lit(0)).alias("before"), "bn")
+    before = W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    buckets = (
+        values.groupBy("b")
+        .agg(F.count(F.lit(1)).alias("bn"))
+        .select(
+            "b",
+            "bn",
+            F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("before"),
+            F.sum("bn").over(W.partitionBy()).alias("total"),
+        )
     )
-    inside = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.join(starts, "b").select(
-        "v", (F.col("before") + F.sum("n").over(inside)).alias("upto"), "n"
+
+    def at(p: float) -> Column:
+        return (F.col("total") - 1) * F.lit(float(p))
+
+    def holds(rank: Column, start: str, count: str) -> Column:
+        return (F.col(start) <= rank) & (rank < F.col(start) + F.col(count))
+
+    wanted = F.lit(False)
+    for p in probs.values():
+        wanted = wanted | holds(F.floor(at(p)), "before", "bn")
+        wanted = wanted | holds(F.ceil(at(p)), "before", "bn")
+    inside = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+    ranked = (
+        values.join(F.broadcast(buckets.filter(wanted)), "b")  # two rows per quantile at most
+        .groupBy("b", "before", "total", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("rank", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
     )
-    total = starts.agg(F.sum("bn").alias("total"))
     aggs = []
     for name, p in probs.items():
-        pos = (F.col("total") - 1) * F.lit(float(p))
-        for tag, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            here = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
-            aggs.append(F.max(F.when(here, F.col("v"))).alias(f"{name}_{tag}"))
-        aggs.append(F.max(pos - F.floor(pos)).alias(f"{name}_at"))
-    picked = ranked.join(F.broadcast(total)).agg(*aggs)  # `total` is one aggregate row
-    return picked.select(
-        *[
-            (
-                F.col(f"{q}_lo") + (F.col(f"{q}_hi") - F.col(f"{q}_lo")) * F.col(f"{q}_at")
-            ).alias(q)
-            for q in probs
-        ]
+        for tag, rank in (("lo", F.floor(at(p))), ("hi", F.ceil(at(p)))):
+            aggs.append(F.max(F.when(holds(rank, "rank", "n"), F.col("v"))).alias(f"{name}_{tag}"))
+        aggs.append(F.max(at(p) - F.floor(at(p))).alias(f"{name}_at"))
+    lo, hi, part = ((lambda q, t=t: F.col(f"{q}_{t}")) for t in ("lo", "hi", "at"))
+    return ranked.agg(*aggs).select(
+        *[(lo(q) + (hi(q) - lo(q)) * part(q)).alias(q) for q in probs]
     )
 
 

@@ -138,6 +138,16 @@ def _violated(metric: str, threshold: float, n_viol: int):
     return F.when(over & newest, 1).otherwise(0).alias("query_result")
 
 
+def recent_windows(profile: DataFrame, metric: str, n: int) -> DataFrame:
+    """The metric in the newest `n` windows of the whole table, newest first."""
+    return (
+        profile.filter(table_level_rows())
+        .select(metric, "window")
+        .orderBy(F.col("window.start").desc())
+        .limit(n)
+    )
+
+
 def metric_violation(
     profile: DataFrame,
     metric: str = "root_mean_squared_error",
@@ -149,13 +159,7 @@ def metric_violation(
 
     One row, for a table that is watched as a whole (one model per window); no windows give 0.
     """
-    recent = (
-        profile.filter(table_level_rows())
-        .select(metric, "window")
-        .orderBy(F.col("window.start").desc())
-        .limit(n_eval)
-    )
-    return recent.agg(_violated(metric, threshold, n_viol))
+    return recent_windows(profile, metric, n_eval).agg(_violated(metric, threshold, n_viol))
 
 
 def metric_violation_by_model(

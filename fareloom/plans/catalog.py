@@ -117,6 +117,13 @@ def feature_job(spark, d):
     return features.run_feature_job(**args, start="2024-01-15").read(spark)
 
 
+@query
+def create_feature_table(spark, d):
+    """A new table partitioned by month, its key checked."""
+    df = sliding_features(_trips(spark, d), PICKUP)
+    return tables.create_feature_table(scratch_path(spark, "t"), "zip", PICKUP, df).read(spark)
+
+
 @query
 def merge_upsert(spark, d):
     t = _trips(spark, d)
@@ -252,6 +259,18 @@ def gold(spark, d):
     return rounded(medallion.gold_from_raw(_trips(spark, d)), "avg_fare_per_zip")
 
 
+@query
+def row_counts(spark, d):
+    """Rows after each stage."""
+    t = _trips(spark, d)
+    stages = {"raw": t, "silver": medallion.silver(t), "gold": medallion.gold_from_raw(t)}
+    counts = [
+        df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n_rows"))
+        for name, df in stages.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query
 def medallion_batch(spark, d):
     """All layers written and read back."""
@@ -485,6 +504,14 @@ def _profile(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_profile(_predictions(spark, d))
 
 
+@query
+def recent_windows(spark, d):
+    """The newest five windows of the whole table."""
+    one = _predictions(spark, d).withColumn("model_id", F.lit("1"))
+    recent = quality.recent_windows(quality.quality_profile(one), "root_mean_squared_error", 5)
+    return rounded(_flat_window(recent), "root_mean_squared_error")
+
+
 @query
 def metric_violation(spark, d):
     one = _predictions(spark, d).withColumn("model_id", F.lit("1"))
@@ -607,6 +634,13 @@ def knn_regress(spark, d):
     return rounded(df.select("trip_id", "prediction"), "prediction")
 
 
+@query
+def signature_sample(spark, d):
+    """Ten example rows with their prediction."""
+    t = models.signature_sample(_trips(spark, d).select("trip_id", "trip_distance"), 10)
+    return models.score_frame(t, {"prediction": _fare_rule}, ("trip_distance",))
+
+
 # --- model fitting --------------------------------------------------------------------------
 
 
@@ -614,7 +648,9 @@ def _learning_frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]
     """Train and hold-out rows. Staged, since a fit reads its input many times."""
     clean = _trips(spark, d).filter(all_positive("fare_amount", "trip_distance"))
     frame = stage(training.inline_training_features(clean, keep=("trip_id",)), "training")
-    return split.train_test_split(frame, "trip_id")
+    # A small file is one partition; give every core a share.
+    spread = frame.repartition(spark.sparkContext.defaultParallelism, "trip_id")
+    return split.train_test_split(spread, "trip_id")
 
 
 def _held_out(model, test: DataFrame) -> DataFrame:

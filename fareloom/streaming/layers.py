@@ -15,6 +15,10 @@ from fareloom.plans import medallion
 from fareloom.sources.readers import stream_path
 
 
+# Layers whose every version is the whole result.
+REPLACED = ("trip_pickup_features", "trip_dropoff_counts")
+
+
 class LayerStore:
     """Where the layers and their checkpoints live."""
 
@@ -35,11 +39,30 @@ class LayerStore:
         """New rows of the layer."""
         return stream_path(self.spark, self.path(name), self.read(name).schema)
 
-    def current(self, name: str) -> DataFrame:
+    def current_path(self, name: str) -> str:
         """Newest version of a layer that is replaced as a whole."""
-        every = self.spark.read.parquet(self.path(name))
-        newest = every.agg(F.max("version")).first()[0]
-        return every.filter(F.col("version") == newest).drop("version")
+        newest = self.read(name).agg(F.max("version")).first()[0]
+        return f"{self.path(name)}/version={newest}"
+
+    def current(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.current_path(name))
+
+    def register(self, database: str) -> None:
+        """Make the layers catalog tables with their comments and properties.
+
+        The tables are external: dropping the old entry to point it at a new version leaves the
+        data alone. Call after each update.
+        """
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for layer in medallion.LAYERS.values():
+            path = self.current_path if layer.name in REPLACED else self.path
+            properties = ", ".join(f"'{k}' = '{v}'" for k, v in layer.properties.items())
+            table = f"`{database}`.`{layer.name}`"
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.sql(
+                f"CREATE TABLE {table} USING parquet LOCATION '{path(layer.name)}'"
+                f" COMMENT '{layer.comment}' TBLPROPERTIES ({properties})"
+            )
 
 
 def append_layer(store: LayerStore, name: str, stream: DataFrame) -> None:

@@ -60,6 +60,15 @@ def test_unknown_layer(spark, tmp_path):
         layers.run_all(spark, None, str(tmp_path), "platinum")
 
 
-def test_layer_properties():
-    assert medallion.LAYERS["bronze_nyc_taxi"].properties == {"quality": "bronze"}
-    assert medallion.LAYERS["gold_nyc_taxi"].properties == {"quality": "gold"}
+def test_layers_as_catalog_tables(spark, tmp_path):
+    src = str(tmp_path / "raw")
+    arrive(spark, src, [(10.0, 1.0, "a", "x")])
+    for expected in (10.0, 15.0):
+        store = update(spark, src, str(tmp_path / "run"))
+        store.register("taxi")
+        assert spark.table("taxi.trip_pickup_features").first()["avg_fare_per_zip"] == expected
+        arrive(spark, src, [(20.0, 1.0, "a", "x")])
+    for name, layer in medallion.LAYERS.items():
+        facts = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED taxi.{name}").collect()}
+        assert facts["Comment"] == layer.comment
+        assert f"quality={layer.properties['quality']}" in facts["Table Properties"]
