@@ -630,7 +630,7 @@ def score_ab(spark, d):
 def knn_regress(spark, d):
     t = _trips(spark, d).select("trip_id", *KNN_FEATURES, "fare_amount")
     train, test = split.train_test_split(t, "trip_id")
-    df = knn.knn_regress(train, test, KNN_FEATURES, "fare_amount", "trip_id", "trip_id")
+    df = knn.knn_regress(train, test, KNN_FEATURES, "fare_amount", "trip_id")
     return rounded(df.select("trip_id", "prediction"), "prediction")
 
 

@@ -101,7 +101,7 @@ def test_knn_equals_brute_force(spark, blocks):
     query += [(200, 45.5, 39.0)]
     t = spark.createDataFrame(train, "id long, x double, y double, label double").repartition(5)
     q = spark.createDataFrame([*query, (300, None, 1.0)], "qid long, x double, y double")
-    got = knn.knn_regress(t, q, ("x", "y"), "label", "id", "qid", **blocks)
+    got = knn.knn_regress(t, q, ("x", "y"), "label", "id", **blocks)
     values = {r["qid"]: r["prediction"] for r in got.collect()}
     assert values.pop(300) is None
     want = brute_force(train, query, 10)
@@ -112,7 +112,7 @@ def test_knn_equals_brute_force(spark, blocks):
 def test_knn_with_fewer_rows_than_k(spark):
     t = spark.createDataFrame([(1, 0.0, 2.0), (2, 1.0, 4.0)], "id long, x double, label double")
     q = spark.createDataFrame([(1, 0.5)], "qid long, x double")
-    assert knn.knn_regress(t, q, ("x",), "label", "id", "qid").first()["prediction"] == 3.0
+    assert knn.knn_regress(t, q, ("x",), "label", "id").first()["prediction"] == 3.0
 
 
 def test_sample_and_label(spark):
