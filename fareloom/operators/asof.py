@@ -83,6 +83,10 @@ def asof_lookup(
     by an equi join, which the runtime can split however many rows share a pair. Long histories
     of one key are worked on in stretches of `chunk_seconds` (see `_resolve`). `asked_of` is
     where the pairs are taken from, `df` if not given; a chain of lookups passes its plain input.
+
+    `staged` writes the answers out first, so that they are broadcast when they are measured to
+    be small. Worth it for rounded times, of which there are few; pairs of unrounded times are
+    about as many as the rows.
     """
     keys = [f"_k{i}" for i in range(len(lookup.lookup_key))]
     names = list(lookup.names or lookup.features)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
@@ -210,17 +210,19 @@ Predict = Callable[[pd.DataFrame], pd.Series]
 def score_frame(
     df: DataFrame, predict: Mapping[str, Predict], features: Sequence[str]
 ) -> DataFrame:
-    """Add one column per user model, computed on Arrow batches of the feature columns."""
-    added = [StructField(name, DoubleType()) for name in predict]
-    schema = StructType([*df.schema.fields, *added])
-    columns = list(features)
+    """Add one column per user model, computed on Arrow batches.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = pdf[columns]
-            yield pdf.assign(**{name: fn(x) for name, fn in predict.items()})
+    Only the feature columns go to Python, once for all models; the others stay in the JVM.
+    """
+    out = StructType([StructField(name, DoubleType()) for name in predict])
+
+    def run(x: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({name: fn(x) for name, fn in predict.items()})
 
-    return df.mapInPandas(run, schema)
+    scores = F.pandas_udf(run, out)(F.struct(*features))
+    return df.withColumn("_scores", scores).select(
+        *df.columns, *[F.col(f"_scores.{name}").alias(name) for name in predict]
+    )
 
 
 def _apply(model: Model, df: DataFrame, out: str) -> DataFrame:

@@ -41,8 +41,10 @@ def half_open_join(usage: DataFrame, prices: DataFrame, keys: Sequence[str]) ->
 
 
 def latest_price(prices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The price row with the newest start per key."""
-    newest = W.partitionBy(*keys).orderBy(F.col("price_start_ts").desc())
+    """The price row with the newest start per key; of several, the longest and cheapest."""
+    newest = W.partitionBy(*keys).orderBy(
+        F.col("price_start_ts").desc(), F.col("price_end_ts").desc(), F.col("unit_price")
+    )
     return prices.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("rn")
 
 

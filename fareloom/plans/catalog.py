@@ -368,7 +368,7 @@ def trailing_seconds(spark, d):
     )
     df = with_trailing(
         t, "pickup_zip", "s", 3600, "trips_1h", "fare_amount", "mean_fare_1h",
-        chunk=21_600, staged=True,
+        chunk=21_600,
     )
     return rounded(df, "mean_fare_1h")
 
@@ -385,7 +385,7 @@ def asof_join(spark, d):
         lookup_ts=PICKUP,
         table_ts="feature_ts",
     )
-    return asof_lookup(t.select("trip_id", "dropoff_zip", PICKUP), lookup, staged=True)
+    return asof_lookup(t.select("trip_id", "dropoff_zip", PICKUP), lookup)
 
 
 @query

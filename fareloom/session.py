@@ -22,13 +22,34 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "fareloom", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with SETTINGS applied; `extra` keys use `__` for dots."""
+# Bytes a shuffle task should handle.
+SHUFFLE_TARGET = 256 * 1024**2
+# Blocks to keep track of grow with map tasks times partitions; past this, tasks spill instead.
+FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 50_000
+
+
+def partitions_for(shuffled_bytes: int, target: int = SHUFFLE_TARGET) -> int:
+    """Shuffle partitions for that much data. AQE merges those that turn out small."""
+    return min(MOST_PARTITIONS, max(FEWEST_PARTITIONS, -(-shuffled_bytes // target)))
+
+
+def build_session(
+    app: str = "fareloom",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **extra: str,
+) -> SparkSession:
+    """A session with SETTINGS applied; `extra` keys use `__` for dots.
+
+    `shuffled_bytes`, the size of the largest shuffle expected, sets the number of partitions.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    settings = dict(SETTINGS)
+    if shuffled_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(partitions_for(shuffled_bytes))
+    settings |= {key.replace("__", "."): value for key, value in extra.items()}
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -1,10 +1,12 @@
+import os
 from datetime import datetime as dt
 
 import pytest
 
 from fareloom.operators.compare import frames_equal
 from fareloom.sources import readers, tables
-from fareloom.sources.staging import scratch_path, shared_folder, stage
+from fareloom.session import partitions_for
+from fareloom.sources.staging import release, scratch_path, shared_folder, stage
 
 ROWS = "zip int, at timestamp_ntz, yyyy_mm string, n int"
 
@@ -103,3 +105,17 @@ def test_staging_uses_the_shared_folder(spark):
     kept = stage(df, "numbers")
     assert frames_equal(kept, df)
     assert all(folder in f for f in kept.inputFiles())
+
+
+def test_release_frees_staged_tables(spark):
+    kept = stage(spark.range(10), "gone")
+    before = kept.inputFiles()
+    assert release(spark) >= 1
+    assert release(spark) == 0
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in before)
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert partitions_for(10**9) == 200
+    assert partitions_for(10**12) == 3726
+    assert partitions_for(100 * 10**12) == 50_000
