@@ -86,8 +86,9 @@ def latency_summary(
     probs = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
     quantiles = exact_quantiles(log, latency, probs)
     rate = F.round(F.col("requests") / F.lit(float(duration_s)), 3) if duration_s else F.lit(0.0)
-    # Both sides are one aggregate row.
-    return totals.join(F.broadcast(quantiles)).select(
+    # Two one-row results with different columns, laid over each other.
+    both = totals.unionByName(quantiles, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).select(
         "requests",
         "failures",
         "avg_ms",

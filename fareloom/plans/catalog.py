@@ -392,9 +392,7 @@ def asof_join(spark, d):
 def training_set(spark, d):
     t = _trips(spark, d)
     return training.lookup_training_set(
-        t,
-        stage(sliding_features(t, PICKUP), "pickup"),
-        stage(tumbling_features(t, DROPOFF), "dropoff"),
+        t, sliding_features(t, PICKUP), tumbling_features(t, DROPOFF)
     )
 
 
@@ -600,9 +598,7 @@ def _zip_rule(x):
 def score_batch(spark, d):
     """Feature lookup, a user model on Arrow batches, and the run's stamp."""
     t = _trips(spark, d)
-    lookups = training.trip_lookups(
-        stage(sliding_features(t, PICKUP), "pickup"), stage(tumbling_features(t, DROPOFF), "dropoff")
-    )
+    lookups = training.trip_lookups(sliding_features(t, PICKUP), tumbling_features(t, DROPOFF))
 
     def rule(x):
         return 3 * x["trip_distance"] + x["count_trips_window_1h_pickup_zip"].fillna(0)
