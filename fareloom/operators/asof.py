@@ -35,16 +35,15 @@ class FeatureLookup:
 
 def _resolve(asked: DataFrame, known: DataFrame, keys: list[str], chunk: int | None) -> DataFrame:
     """The newest known feature at or before each asked (key, time)."""
-    both = asked.withColumn("_f", F.lit(None).cast(known.schema["_f"].dataType)).withColumn(
-        "_asked", F.lit(1)
-    )
-    both = both.unionByName(known.withColumn("_asked", F.lit(0)))
+    no_feature = F.lit(None).cast(known.schema["_f"].dataType)
     parts = list(keys)
     if chunk is not None:
-        both = both.withColumn(
-            "_c", F.floor(epoch_micros("_t") / F.lit(chunk * 1_000_000)).cast("long")
-        )
+        at = F.floor(epoch_micros("_t") / F.lit(chunk * 1_000_000)).cast("long")
+        asked, known = asked.withColumn("_c", at), known.withColumn("_c", at)
         parts.append("_c")
+    both = asked.select("*", no_feature.alias("_f"), F.lit(1).alias("_asked")).unionByName(
+        known.withColumn("_asked", F.lit(0))
+    )
     # A feature at the very time asked for counts, hence known rows sort first.
     sofar = (
         W.partitionBy(*parts)
@@ -56,12 +55,16 @@ def _resolve(asked: DataFrame, known: DataFrame, keys: list[str], chunk: int | N
         return found.select(*keys, "_t", "_f")
 
     # What each stretch starts with: the last feature of the stretches before it.
-    before = W.partitionBy(*keys).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
-    known_at = F.when(F.col("_asked") == 0, F.col("_t"))
+    lasts = known.groupBy(*parts).agg(F.max_by("_f", "_t").alias("_last"))
+    stretches = asked.select(*parts).distinct()
+    spans = stretches.select("*", no_feature.alias("_last"), F.lit(1).alias("_asked")).unionByName(
+        lasts.withColumn("_asked", F.lit(0))
+    )
+    before = W.partitionBy(*keys).orderBy("_c").rangeBetween(W.unboundedPreceding, -1)
     carried = (
-        both.groupBy(*parts)
-        .agg(F.max_by("_f", known_at).alias("_last"))
-        .select(*parts, F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+        spans.withColumn("_carry", F.last("_last", ignorenulls=True).over(before))
+        .filter("_asked = 1")
+        .select(*parts, "_carry")
     )
     return found.join(carried, parts, "left").select(
         *keys, "_t", F.coalesce("_f", "_carry").alias("_f")
