@@ -7,7 +7,6 @@ row per silver row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,13 +75,28 @@ def gold(silver_df: DataFrame, pickup: DataFrame, counts: DataFrame) -> DataFram
     )
 
 
+def zip_tables(silver_df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`pickup_zip_avg` and `dropoff_trip_count` from one pass over the trips, staged."""
+    sums = silver_df.groupingSets(
+        [["pickup_zip"], ["dropoff_zip"]], "pickup_zip", "dropoff_zip"
+    ).agg(
+        F.avg("fare_amount").alias("avg_fare_per_zip"),
+        F.count(F.lit(1)).alias("trip_count"),
+        F.grouping("pickup_zip").alias("by_dropoff"),
+    )
+    kept = stage(sums, "zips")
+    return (
+        kept.filter("by_dropoff = 0").select(F.col("pickup_zip").alias("zip"), "avg_fare_per_zip"),
+        kept.filter("by_dropoff = 1").select("dropoff_zip", "trip_count"),
+    )
+
+
 def gold_from_raw(raw: DataFrame, staged: bool = True) -> DataFrame:
     """Gold without stored layers. Staging gives the per-ZIP tables a measured size."""
     clean = silver(raw)
-    keep: Callable[[DataFrame, str], DataFrame] = stage if staged else (lambda df, _: df)
-    pickup = keep(pickup_zip_avg(clean), "pickup")
-    counts = keep(dropoff_trip_count(dropoff_rows(clean)), "counts")
-    return gold(clean, pickup, counts)
+    if staged:
+        return gold(clean, *zip_tables(clean))
+    return gold(clean, pickup_zip_avg(clean), dropoff_trip_count(dropoff_rows(clean)))
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, root: str) -> dict[str, str]:

@@ -20,10 +20,13 @@ REPLACED = ("trip_pickup_features", "trip_dropoff_counts")
 
 
 class LayerStore:
-    """Where the layers and their checkpoints live."""
+    """Where the layers and their checkpoints live.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    A backlog is worked off in batches of `max_files`, so that a failure repeats one batch only.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, max_files: int = 10_000):
+        self.spark, self.root, self.max_files = spark, root.rstrip("/"), max_files
 
     def path(self, name: str) -> str:
         return f"{self.root}/layers/{name}"
@@ -37,7 +40,12 @@ class LayerStore:
 
     def stream(self, name: str) -> DataFrame:
         """New rows of the layer."""
-        return stream_path(self.spark, self.path(name), self.read(name).schema)
+        return stream_path(
+            self.spark,
+            self.path(name),
+            self.read(name).schema,
+            max_files_per_trigger=self.max_files,
+        )
 
     def current_path(self, name: str) -> str:
         """Newest version of a layer that is replaced as a whole."""
@@ -142,9 +150,15 @@ def run_gold(store: LayerStore) -> None:
     )
 
 
-def run_all(spark: SparkSession, raw: DataFrame, root: str, upto: str = "gold_nyc_taxi") -> LayerStore:
+def run_all(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    upto: str = "gold_nyc_taxi",
+    max_files: int = 10_000,
+) -> LayerStore:
     """One triggered update, upstream layers first, ending with `upto`."""
-    store = LayerStore(spark, root)
+    store = LayerStore(spark, root, max_files)
     steps = {
         "bronze_nyc_taxi": lambda: run_bronze(store, raw),
         "silver_nyc_taxi": lambda: run_silver(store),

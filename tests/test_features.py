@@ -88,7 +88,9 @@ def test_pickup_averages(spark):
 
 def test_gold_has_one_row_per_silver_row(spark):
     rows = [(10.0, 1.0, "a", "x"), (20.0, 1.0, "a", "x"), (30.0, 1.0, None, "x")]
-    out = medallion.gold_from_raw(spark.createDataFrame(rows, TRIP)).collect()
+    df = spark.createDataFrame(rows, TRIP)
+    assert frames_equal(medallion.gold_from_raw(df), medallion.gold_from_raw(df, staged=False))
+    out = medallion.gold_from_raw(df).collect()
     assert len(out) == 3
     assert {r["trip_count"] for r in out} == {3}
     assert {r["pickup_zip"]: r["avg_fare_per_zip"] for r in out} == {"a": 15.0, None: None}

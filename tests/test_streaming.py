@@ -16,9 +16,9 @@ def arrive(spark, path, rows):
     spark.createDataFrame(rows, TRIP).coalesce(1).write.mode("append").parquet(path)
 
 
-def update(spark, src, root):
-    raw = stream_path(spark, src, spark.read.parquet(src).schema)
-    return layers.run_all(spark, raw, root)
+def update(spark, src, root, max_files=10_000):
+    raw = stream_path(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=max_files)
+    return layers.run_all(spark, raw, root, max_files=max_files)
 
 
 def test_two_updates_equal_the_batch_run(spark, tmp_path):
@@ -47,6 +47,16 @@ def test_two_updates_equal_the_batch_run(spark, tmp_path):
     assert store.read("gold_nyc_taxi").count() == 3
 
 
+def test_a_backlog_in_many_batches_equals_one(spark, tmp_path):
+    src = str(tmp_path / "raw")
+    for i in range(4):
+        arrive(spark, src, [(10.0 + i, 1.0, "a", "x"), (5.0, 1.0, "b", f"y{i}")])
+    one = update(spark, src, str(tmp_path / "one"))
+    many = update(spark, src, str(tmp_path / "many"), max_files=1)
+    assert frames_equal(one.read("gold_nyc_taxi"), many.read("gold_nyc_taxi"))
+    assert many.read("trip_pickup_features").select("version").distinct().count() == 4
+
+
 def test_batch_run_writes_all_layers(spark, tmp_path):
     raw = spark.createDataFrame([(10.0, 1.0, "a", "x"), (5.0, -1.0, "a", "x")], TRIP)
     paths = medallion.run_batch(spark, raw, str(tmp_path))
