@@ -7,8 +7,10 @@ failure, continue where it ended.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from fareloom.operators.time_features import dropoff_trip_count, pickup_zip_avg
 from fareloom.plans import medallion
@@ -27,6 +29,7 @@ class LayerStore:
 
     def __init__(self, spark: SparkSession, root: str, max_files: int = 10_000):
         self.spark, self.root, self.max_files = spark, root.rstrip("/"), max_files
+        self.schemas: dict[str, StructType] = {}  # of the layers run so far
 
     def path(self, name: str) -> str:
         return f"{self.root}/layers/{name}"
@@ -35,15 +38,23 @@ class LayerStore:
         return f"{self.root}/checkpoints/{name}"
 
     def read(self, name: str) -> DataFrame:
-        """The layer as it stands."""
-        return self.spark.read.parquet(self.path(name))
+        """The layer as it stands. One that has run but had no input yet is empty."""
+        schema = self.schemas.get(name)
+        try:
+            reader = self.spark.read.schema(schema) if schema else self.spark.read
+            return reader.parquet(self.path(name))
+        except AnalysisException as e:
+            if schema and e.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.createDataFrame([], schema)
+            raise
 
     def stream(self, name: str) -> DataFrame:
         """New rows of the layer."""
+        schema = self.schemas[name] if name in self.schemas else self.read(name).schema
         return stream_path(
             self.spark,
             self.path(name),
-            self.read(name).schema,
+            schema,
             max_files_per_trigger=self.max_files,
         )
 
@@ -53,6 +64,9 @@ class LayerStore:
         return f"{self.path(name)}/version={newest}"
 
     def current(self, name: str) -> DataFrame:
+        every = self.read(name)
+        if every.isEmpty():
+            return every.drop("version")
         return self.spark.read.parquet(self.current_path(name))
 
     def register(self, database: str) -> None:
@@ -75,6 +89,7 @@ class LayerStore:
 
 def append_layer(store: LayerStore, name: str, stream: DataFrame) -> None:
     """Run a stateless step to the end of its input."""
+    store.schemas[name] = stream.schema
     query = (
         stream.writeStream.format("parquet")
         .queryName(name)
@@ -93,6 +108,10 @@ def replace_layer(store: LayerStore, name: str, stream: DataFrame) -> None:
     version's folder is moved into place when its job commits: readers never see half of one.
     """
 
+    store.schemas[name] = StructType(
+        [*stream.schema.fields, StructField("version", IntegerType())]
+    )
+
     def put(batch: DataFrame, batch_id: int) -> None:
         (
             batch.withColumn("version", F.lit(batch_id))

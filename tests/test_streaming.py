@@ -82,3 +82,15 @@ def test_layers_as_catalog_tables(spark, tmp_path):
         facts = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED taxi.{name}").collect()}
         assert facts["Comment"] == layer.comment
         assert f"quality={layer.properties['quality']}" in facts["Table Properties"]
+
+
+def test_update_before_any_data(spark, tmp_path):
+    src, root = str(tmp_path / "raw"), str(tmp_path / "run")
+    (tmp_path / "raw").mkdir()
+    schema = spark.createDataFrame([], TRIP).schema
+    raw = stream_path(spark, src, schema)
+    store = layers.run_all(spark, raw, root)
+    assert store.read("gold_nyc_taxi").count() == 0
+    arrive(spark, src, [(10.0, 1.0, "a", "x")])
+    store = layers.run_all(spark, stream_path(spark, src, schema), root)
+    assert store.read("gold_nyc_taxi").count() == 1
