@@ -7,7 +7,7 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -129,6 +129,14 @@ def fit_random_forest(
     return fit("random_forest", train, features, label, **params)
 
 
+def save_model(model: Model, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def holdout_rmse(model: Model, test: DataFrame, label: str = LABEL) -> float:
     evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
     return evaluator.evaluate(model.transform(test.dropna(subset=[label])))
@@ -225,9 +233,14 @@ def score_frame(
     )
 
 
-def _apply(model: Model, df: DataFrame, out: str) -> DataFrame:
-    scored = model.transform(df).withColumnRenamed("prediction", out)
-    return scored.select(*df.columns, out)
+def apply_model(
+    df: DataFrame, model: Model | Predict, features: Sequence[str], out: str = "prediction"
+) -> DataFrame:
+    """Add the prediction of a fitted or a user model as column `out`."""
+    if isinstance(model, Model):
+        scored = model.transform(df).withColumnRenamed("prediction", out)
+        return scored.select(*df.columns, out)
+    return score_frame(df, {out: model}, features)
 
 
 def score_batch(
@@ -241,11 +254,7 @@ def score_batch(
 ) -> DataFrame:
     """Feature lookup, prediction, and the stamp of the scoring run."""
     found = create_training_set(df, lookups, staged=staged)
-    if isinstance(model, Model):
-        scored = _apply(model, found, "prediction")
-    else:
-        scored = score_frame(found, {"prediction": model}, features)
-    return with_model_stamp(scored, model_version, ts)
+    return with_model_stamp(apply_model(found, model, features), model_version, ts)
 
 
 def score_ab(
@@ -254,12 +263,7 @@ def score_ab(
     """Both models on every row: `pred_a` and `pred_b`."""
     if not isinstance(model_a, Model) and not isinstance(model_b, Model):
         return score_frame(df, {"pred_a": model_a, "pred_b": model_b}, features)
-    for name, m in (("pred_a", model_a), ("pred_b", model_b)):
-        if isinstance(m, Model):
-            df = _apply(m, df, name)
-        else:
-            df = score_frame(df, {name: m}, features)
-    return df
+    return apply_model(apply_model(df, model_a, features, "pred_a"), model_b, features, "pred_b")
 
 
 def signature_sample(df: DataFrame, n: int = 10) -> DataFrame:

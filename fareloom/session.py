@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Size of the partitions AQE merges and splits to, hence of the files written.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     # Small sides are staged, so this bound is held against their true size (sources/staging.py).
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     # Streaming state outside the heap; it grows with keys times open windows.
