@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _wall_clock(bound: str | datetime) -> str:
+    """A bound as text, so that it is not moved by the Python process's own time zone."""
+    if isinstance(bound, str):
+        return bound
+    if bound.tzinfo is not None:
+        bound = bound.astimezone(timezone.utc).replace(tzinfo=None)
+    return bound.isoformat(sep=" ")
+
+
 def filter_by_ts(
     df: DataFrame,
     ts: str | None,
@@ -19,9 +28,9 @@ def filter_by_ts(
         return df
     kind = df.schema[ts].dataType
     if start:
-        df = df.filter(F.col(ts) >= F.lit(start).cast(kind))
+        df = df.filter(F.col(ts) >= F.lit(_wall_clock(start)).cast(kind))
     if end:
-        df = df.filter(F.col(ts) < F.lit(end).cast(kind))
+        df = df.filter(F.col(ts) < F.lit(_wall_clock(end)).cast(kind))
     return df
 
 

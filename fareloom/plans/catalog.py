@@ -107,6 +107,15 @@ def overwrite_path(spark, d):
     return spark.read.parquet(path)
 
 
+@query
+def overwrite_table(spark, d):
+    """A catalog table written twice: the second run replaces the first."""
+    name = "fareloom_predictions"
+    tables.overwrite_table(_trips(spark, d), name, scratch_path(spark, "table"))
+    tables.overwrite_table(_predictions(spark, d), name, scratch_path(spark, "table"))
+    return readers.read_table(spark, name)
+
+
 @query
 def feature_job(spark, d):
     """Two runs over overlapping periods: the second replaces, adds and keeps."""
@@ -352,6 +361,13 @@ def inline_training_features(spark, d):
     return rounded(df, "mean_fare_window_1h_pickup_zip")
 
 
+@query
+def training_frame(spark, d):
+    """The registered training data: label and features as doubles."""
+    df = training.TRAINING_DATA["taxi_training_data"](_trips(spark, d))
+    return rounded(df, "mean_fare_window_1h_pickup_zip")
+
+
 @query
 def inline_features_without_own_slot(spark, d):
     df = training.inline_training_features(

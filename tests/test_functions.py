@@ -1,4 +1,5 @@
 from datetime import datetime as dt
+from datetime import timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,9 @@ def test_filter_by_ts_is_half_open(spark):
     days = [dt(2024, 1, d) for d in (1, 2, 3)]
     df = spark.createDataFrame([(d,) for d in days], "t timestamp_ntz")
     assert one_column(filter_by_ts(df, "t", dt(2024, 1, 1), "2024-01-03")) == days[:2]
+    new_york = timezone(timedelta(hours=-5))
+    aware = dt(2024, 1, 1, 19, tzinfo=new_york)  # 2024-01-02 00:00 in UTC
+    assert one_column(filter_by_ts(df, "t", aware)) == days[1:]
     assert one_column(filter_by_ts(df, "t", "", None)) == days
     assert one_column(filter_by_ts(df, None, "2024-01-02", None)) == days
 
