@@ -164,7 +164,7 @@ def tune(
     rounds: int = 100,
     train_ratio: float = 0.75,
     seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> tuple[Model, list[dict]]:
     """Random search; the best draw is fitted again on all rows. Returns it and all trials."""
     frame = train.select(*features, label).dropna()
