@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import ngram_jaccard, packing, quality, token_counts
+from fareloom.llm import (
+    fingerprints,
+    licenses,
+    mixing,
+    ngram_jaccard,
+    packing,
+    quality,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +33,27 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+# host, path, verdict
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op1_url_filters(spark, d):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(_table(spark, d, "pages"), rules)
+
+
+@query
+def op2_license_scans(spark, d):
+    return licenses.license_scan(_table(spark, d, "documents"))
+
+
 @query
 def op3_quality_classifier(spark, d):
     return quality.quality_scores(_table(spark, d, "documents"), _table(spark, d, "labels"))
@@ -35,6 +65,16 @@ def op4_best_fit_packing(spark, d):
     return packing.best_fit_packing(docs, public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op5_document_fingerprints(spark, d):
+    return fingerprints.fingerprints(_table(spark, d, "documents"))
+
+
+@query
+def op6_mixing_sources(spark, d):
+    return mixing.mix_sizes(_table(spark, d, "documents").select("doc_id", "text", "source"))
+
+
 @query
 def op7_ngram_jaccard_join(spark, d):
     return ngram_jaccard.jaccard_components(_table(spark, d, "documents"))
