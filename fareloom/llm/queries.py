@@ -16,6 +16,8 @@ from fareloom.llm import (
     quality,
     token_counts,
     url_filter,
+    vector_graph,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +82,17 @@ def op7_ngram_jaccard_join(spark, d):
     return ngram_jaccard.jaccard_components(_table(spark, d, "documents"))
 
 
+@query
+def op8_approximate_nearest_neighbours(spark, d):
+    return vector_graph.nearest(_table(spark, d, "embeddings"))
+
+
+@query
+def op9_warc(spark, d):
+    records = warc.archive_round_trip(_table(spark, d, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op10_token_counts(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "text")
