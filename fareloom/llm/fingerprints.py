@@ -73,7 +73,8 @@ def with_parts(df: DataFrame, text_col: str, out: str) -> DataFrame:
     def part(point: int) -> Column:
         # The elements after the point; marks of other points in between are skipped.
         after = F.slice(f, F.array_position(f, F.lit(point)).cast("int") + 1, SMALLEST + PARTS)
-        chosen = F.slice(F.filter(after, lambda x: x.bitwiseAND(F.lit(PLACES)) != PLACES), 1, SMALLEST)
+        marks_out = F.filter(after, lambda x: x.bitwiseAND(F.lit(PLACES)) != PLACES)
+        chosen = F.slice(marks_out, F.lit(1), F.least(F.size(s), F.lit(SMALLEST)))
         in_text = F.sort_array(
             F.transform(chosen, lambda x: F.struct(x.bitwiseAND(F.lit(PLACES)), F.shiftright(x, PLACE_BITS)))
         )

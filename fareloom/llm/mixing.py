@@ -202,7 +202,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     narrow, budget = queued(bare.drop("_row"), ["doc_id"])
     narrow = stage(narrow, "queued")
     rows, _ = queued(bare, ["doc_id", "_row"])
-    rows = with_copies(rows, narrow, cut_time(narrow, budget)).filter("_copies > 0")
+    rows = with_copies(rows, narrow, cut_time(narrow, budget)).filter("_size > 0 and _copies > 0")
     nth = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
     rows = rows.select("_row", "_key", "source_size", "_before", "_size", "target", nth.alias("_nth"))
     rows = rows.withColumn("_v", _finish(F.col("_nth")))

@@ -9,8 +9,8 @@ product is never formed in full:
    by counts over all documents, in a fixed number of hash buckets, so n-grams of passages that many
    documents share stay out of this block.
 3. Pairs with an entry there must be able to reach the bound: the parity of n-grams per hash bit
-   differs in at most as many bits as the sets differ in elements, so four words per row tell most
-   pairs apart before they are made.
+   differs in at most as many bits as the sets differ in elements, so one word of parity tells many
+   pairs apart before they are made, and four words most of the rest.
 4. The remaining column blocks are accumulated pair by pair; a pair is dropped as soon as what is
    left of the shorter row cannot lift its overlap to the bound that the two sizes set.
 
@@ -28,14 +28,15 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from fareloom.llm.components import components
+from fareloom.llm.url_filter import build_filter, may_hold
 from fareloom.sources.staging import stage
 
 WORDS = 4
 PERCENT = 85
-COUNT_BUCKETS = 1 << 16  # counts of n-grams by hash; 512 KB, whatever the corpus
+COUNT_BUCKETS = 1 << 18  # counts of n-grams by hash; 2 MB, whatever the corpus
 COLUMN_BLOCKS = 4
 SKETCH = ("s0", "s1", "s2", "s3")  # 256 parity bits
 MOST_WORDS_KEPT = 300_000  # word hashes a task remembers
@@ -100,14 +101,14 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _classify(texts: DataFrame, words: int) -> DataFrame:
-    """doc_id, class, n and parity of each row; and from each task a row with its n-gram counts by bucket."""
+    """doc_id, class, n and parity of each row; and each task's n-gram counts (bucket in class, count in n)."""
     schema = StructType(
         [
             texts.schema["doc_id"],
             StructField("class", LongType()),
             StructField("n", LongType()),
             *(StructField(s, LongType()) for s in SKETCH),
-            StructField("counts", ArrayType(LongType())),
+            StructField("is_count", BooleanType()),
         ]
     )
     def run(batches):
@@ -132,13 +133,20 @@ def _classify(texts: DataFrame, words: int) -> DataFrame:
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     *(pa.array(odd[:, k]) for k in range(len(SKETCH))),
-                    pa.nulls(len(ids), pa.list_(pa.int64())),
+                    pa.array(np.zeros(len(ids), bool)),
                 ],
                 names=schema.names,
             )
         if kind is not None:
+            some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), *[pa.nulls(1, pa.int64())] * (2 + len(SKETCH)), pa.array([counts])],
+                [
+                    pa.nulls(len(some), kind),
+                    pa.array(some),
+                    pa.array(counts[some]),
+                    *[pa.nulls(len(some), pa.int64())] * len(SKETCH),
+                    pa.array(np.ones(len(some), bool)),
+                ],
                 names=schema.names,
             )
 
@@ -150,9 +158,8 @@ def _bucket_counts(rows: DataFrame):
     import numpy as np
 
     total = np.zeros(COUNT_BUCKETS, np.int64)
-    per = rows.select(F.posexplode("counts")).groupBy("pos").agg(F.sum("col").alias("n"))
-    for r in per.filter("n > 0").collect():
-        total[r["pos"]] = r["n"]
+    per = rows.groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    total[per.column("class").to_numpy()] = per.column("n").to_numpy()
     return total
 
 
@@ -190,34 +197,32 @@ def _first_block(texts: DataFrame, counts, words: int, percent: int) -> DataFram
     return texts.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _needed_sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """class, grams for the classes in `pairs`, made again from one document of each."""
-    wanted = _ends(pairs)
-    where = classes.join(wanted, "class").select(F.col("first_id").alias("_id")).distinct()
-    schema = StructType([StructField("class", LongType()), StructField("grams", ArrayType(LongType()))])
+def _needed_texts(texts: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """class, text of one document for each class in `pairs`.
+
+    Texts are not shuffled to be found: a Bloom filter of bounded size tells which documents may be
+    wanted, and an exact join drops those it let through by mistake.
+    """
+    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    wanted = stage(wanted.distinct(), "wanted")
+    bloom = build_filter(classes.join(wanted, "class").select(F.col("first_id").alias("key")))
+    shared = texts.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches):
         import numpy as np
 
-        make = set_maker(words)
+        make, table = set_maker(words), shared.value
         for batch in batches:
-            sets = [s for t in batch.column(0).to_pylist() if len(s := make(t or b""))]
-            for at in range(0, len(sets), 256):  # small batches: sets are larger than texts
-                some = sets[at : at + 256]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([class_id(s) for s in some], pa.int64()),
-                        pa.array([s.view(np.int64) for s in some], pa.list_(pa.int64())),
-                    ],
-                    names=schema.names,
-                )
-
-    own = texts.join(where, texts["doc_id"].eqNullSafe(where["_id"]), "left_semi").select("text")
-    return own.mapInArrow(run, schema).join(wanted, "class", "left_semi").dropDuplicates(["class"])
-
+            hashes = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            some = batch.column(0).filter(pa.array(may_hold(table, hashes), pa.bool_()))
+            for at in range(0, len(some), 1024):
+                part = some.slice(at, 1024)
+                sets = [make(t or b"") for t in part.to_pylist()]
+                ids = [class_id(g) if len(g) else None for g in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), part], names=["class", "text"])
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    made = texts.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "class bigint, text binary")
+    return made.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
 def overlap_reaches(a, b, percent: int) -> bool:
@@ -241,28 +246,25 @@ def overlap_reaches(a, b, percent: int) -> bool:
     return common >= need
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose overlap reaches the bound."""
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("grams").alias("ga")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col("grams").alias("gb")), "b"
+def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose overlap reaches the bound; `texts` has the text of each class."""
+    both = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").join(
+        texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b"
     )
 
-    def rows_of(column):
-        import numpy as np
-
-        flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        ends = column.offsets.to_numpy().tolist()
-        return [flat[i:j] for i, j in zip(ends[:-1], ends[1:])]
-
     def run(batches):
+        make, last = set_maker(words), (None, None)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ga, gb = (rows_of(part.column(k)) for k in (2, 3))
-                hit = [overlap_reaches(x, y, percent) for x, y in zip(ga, gb)]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                hit = []
+                for b, ta, tb in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
+                    if last[0] != b:  # rows come sorted by b
+                        last = (b, make(tb))
+                    hit.append(overlap_reaches(make(ta), last[1], percent))
                 yield part.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    return both.select("a", "b", "ga", "gb").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _end(column: DataFrame, side: str) -> DataFrame:
@@ -274,15 +276,29 @@ def _end(column: DataFrame, side: str) -> DataFrame:
     )
 
 
+def _need(percent: int) -> str:
+    return f"ceil({percent} * (n_a + n_b) / {100 + percent})"
+
+
 def _can_link(percent: int):
     """What the sizes ask of a pair that meets in a column of the first block."""
-    need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
-    differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SKETCH)
+    need = _need(percent)
     return F.expr(
-        f"pos_a <= n_a - {need} and pos_b <= n_b - {need} and {differ} <= n_a + n_b - 2 * {need}"
+        f"pos_a <= n_a - {need} and pos_b <= n_b - {need} and bit_count(s0_a ^ s0_b) <= n_a + n_b - 2 * {need}"
     )
 
 
+def _near_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parity differs in no more bits than their sets may differ in elements."""
+    for side in ("a", "b"):
+        own = classes.select(
+            F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *SKETCH)]
+        )
+        pairs = pairs.join(own, side)
+    differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SKETCH)
+    return pairs.filter(F.expr(f"{differ} <= n_a + n_b - 2 * {_need(percent)}")).select("a", "b")
+
+
 def jaccard_components(
     docs: DataFrame,
     words: int = WORDS,
@@ -299,39 +315,43 @@ def jaccard_components(
     """
     texts = _texts(docs, id_col, text_col)
     seen = stage(_classify(texts, words), "classified")
-    counts = _bucket_counts(seen.filter("counts is not null"))
-    rows = seen.filter("counts is null")
+    counts = _bucket_counts(seen.filter("is_count"))
+    rows = seen.filter("not is_count")
     firsts = [F.first(c).alias(c) for c in ("n", *SKETCH)]
     classes = stage(
         rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), *firsts), "classes"
     )
 
     block = _first_block(texts, counts, words, percent)
-    shared = block.groupBy("gram").agg(F.min("class").alias("pivot"), F.max("class").alias("last"))
-    shared = shared.filter("pivot <> last")
+    # Two rows of each column, other ones in every column: extremes of class xor n-gram.
+    other = F.col("class").bitwiseXOR(F.col("gram"))
+    shared = block.groupBy("gram").agg(F.min(other).alias("pivot"), F.max(other).alias("last"))
+    shared = shared.filter("pivot <> last").selectExpr("gram", "pivot ^ gram as pivot", "last ^ gram as last")
     column = block.join(shared, "gram").distinct()
-    column = stage(column.join(classes.drop("first_id"), "class"), "columns")
+    column = stage(column.join(classes.select("class", "n", "s0"), "class"), "columns")
 
-    # Each row of a column against two of them.
-    pivots = _end(column.filter("class in (pivot, last)"), "b")
-    first = _end(column, "a").join(pivots, "gram").filter(F.expr("a <> b") & _can_link(percent))
-    first = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    first = stage(first.distinct(), "pairs")
-    sets = stage(_needed_sets(texts, classes, first, words), "sets")
-    links = stage(_linked(first, sets, percent), "links")
+    # Each row of a column against two of them. One exchange by n-gram serves both sides.
+    rows_of = column.repartition("gram")
+    first = _end(rows_of, "a").join(_end(rows_of.filter("class in (pivot, last)"), "b"), "gram")
+    first = first.filter(F.expr("a <> b") & _can_link(percent))
+    first = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    first = stage(_near_enough(first, classes, percent), "pairs")
+    known = stage(_needed_texts(texts, classes, first, words), "texts")
+    links = stage(_linked(first, known, words, percent), "links")
 
     # Then pairs from different components, if they share a column and were not compared yet.
     label = components(links).select(F.col("node").alias("class"), "component")
     column = column.drop("pivot", "last").join(label, "class", "left")
-    column = column.withColumn("component", F.coalesce("component", "class"))
+    column = column.withColumn("component", F.coalesce("component", "class")).repartition("gram")
     mixed = column.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    column = stage(column.join(mixed.filter("lo <> hi").select("gram"), "gram"), "mixed")
+    column = column.join(mixed.filter("lo <> hi").select("gram"), "gram")
     second = _end(column, "a").join(_end(column, "b"), "gram")
     second = second.filter(F.expr("a > b and component_a <> component_b") & _can_link(percent))
-    second = stage(second.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    second = second.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    second = stage(_near_enough(second, classes, percent), "pairs")
     if not second.isEmpty():
-        more = stage(_needed_sets(texts, classes, second, words), "sets")
-        links = links.unionByName(_linked(second, more, percent))
+        more = stage(_needed_texts(texts, classes, second, words), "texts")
+        links = links.unionByName(_linked(second, more, words, percent))
         label = components(links).select(F.col("node").alias("class"), "component")
 
     owner = classes.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -97,3 +97,44 @@ def op9_warc(spark, d):
 def op10_token_counts(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, public_tokenizers.path(TOKENIZER))
+
+
+_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+SQL["op1_url_filters"] = rf"""
+WITH rules(h, p, v) AS (VALUES {_RULES_SQL}),
+urls AS (
+    SELECT page_id,
+        coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+),
+judged AS (
+    SELECT page_id, host, path, (
+        SELECT max(struct_pack(len := length(h || p), rule := h || p, verdict := v)) FROM rules
+        WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    ) AS best
+    FROM urls
+)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM judged
+"""
+
+# Base32 of the digest: every five hex digits are twenty bits, hence four letters.
+SQL["op9_warc"] = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+),
+digests AS (
+    SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)
+    ), 'string_agg', '') AS payload_digest
+    FROM payloads
+),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = first_id OR first_id IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM firsts
+"""

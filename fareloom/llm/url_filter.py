@@ -66,6 +66,12 @@ def _blocks(hashes, count: int):
     return ((hashes >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
 
 
+def may_hold(table, hashes):
+    """Which hashes the filter may hold."""
+    mask = _masks(hashes)
+    return ((table[_blocks(hashes, len(table))] & mask) == mask).all(axis=1)
+
+
 def build_filter(keys: DataFrame, most_bytes: int = MOST_FILTER_BYTES):
     """The filter over column `key`, as an array of blocks; built in tasks, merged by block."""
     import numpy as np
@@ -104,8 +110,7 @@ def possible_hits(urls: DataFrame, blocks) -> DataFrame:
         for batch in batches:
             keys, hashes = batch.column("keys"), batch.column("_h")
             h = hashes.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            mask = _masks(h)
-            hit = ((table[_blocks(h, len(table))] & mask) == mask).all(axis=1)
+            hit = may_hold(table, h)
             lengths = keys.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(lengths)), lengths)
             kept = np.bincount(row[hit], minlength=len(lengths))
