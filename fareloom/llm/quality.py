@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from fareloom.sources.staging import stage
+
 # The sample the classifier is fitted on: at most so many texts and characters per class, half of
 # them for the dictionaries and half for the curve.
 SAMPLE_ROWS = 3_600
@@ -90,15 +92,12 @@ def logistic_fit(
     return float(w[0] / scale), float(w[1])
 
 
-def _sample(labelled: DataFrame, label: int, rows: int, chars: int) -> list[bytes]:
-    """Texts of one class in order of their id's hash: at most `rows` of at most `chars` in all."""
-    own = labelled.filter(F.col("label") == label)
-    heads = (
-        own.select("id", "key", F.length("text").alias("n"))
-        .orderBy("key", "id", "n")
-        .limit(rows)
-        .collect()
-    )
+def _sample(sizes: DataFrame, texts: DataFrame, label: int, rows: int, chars: int) -> list[bytes]:
+    """Texts of one class in order of their id's hash: at most `rows` of at most `chars` in all.
+
+    Chosen by id and length alone; only the chosen texts leave the scan.
+    """
+    heads = sizes.filter(F.col("label") == label).orderBy("key", "id", "n").limit(rows).collect()
     ids, room = [], chars
     for h in heads:
         room -= h["n"]
@@ -107,8 +106,8 @@ def _sample(labelled: DataFrame, label: int, rows: int, chars: int) -> list[byte
         ids.append(h["id"])
     if not ids:
         return []
-    texts = own.filter(F.col("id").isin(ids)).select("id", "key", F.col("text").cast("binary").alias("text"))
-    return [bytes(r["text"]) for r in texts.orderBy("key", "id", "text").limit(rows).collect()]
+    own = texts.filter(F.col("id").isin(ids)).select("id", F.col("text").cast("binary").alias("text"))
+    return [bytes(r["text"]) for r in own.orderBy(F.xxhash64("id"), "id", "text").limit(rows).collect()]
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
@@ -145,9 +144,10 @@ def fit_quality(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull() & (fold("id") != HELD_OUT)
     )
-    labelled = texts.join(known, "id").withColumn("key", F.xxhash64("id"))
-    seen = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    good, bad = (_sample(labelled, label, rows, chars) for label in (1, 0))
+    sizes = texts.select("id", F.length("text").alias("n")).join(known, "id")
+    sizes = stage(sizes.withColumn("key", F.xxhash64("id")), "labelled")
+    seen = {r["label"]: r["count"] for r in sizes.groupBy("label").count().collect()}
+    good, bad = (_sample(sizes, texts, label, rows, chars) for label in (1, 0))
     dicts = _dictionary(good[::2]), _dictionary(bad[::2])
     if not (good and bad):
         share = math.log((len(good) + 1) / (len(bad) + 1))
