@@ -50,8 +50,15 @@ def quality_profile(
         F.sum(F.col("_e") * F.col("_e")).alias("se"),
         F.max(F.abs("_e")).alias("me"),
         F.sum(F.abs("_e") / size).alias("pe"),
-        F.sum("_y").alias("sy"),
-        F.sum(F.col("_y") * F.col("_y")).alias("syy"),
+        F.avg("_y").alias("my"),
+        (F.var_pop("_y") * F.count("_y")).alias("within"),
+    )
+    # Spread around the mean without squares of the labels themselves: inside the finest groups, and
+    # of their means around the window's. The window frame is over one row per finest group.
+    whole = W.partitionBy("window")
+    middle = F.try_divide(F.sum(F.col("n") * F.col("my")).over(whole), F.sum("n").over(whole))
+    sums = sums.withColumn("off", F.coalesce(F.col("my") - middle, F.lit(0.0))).withColumns(
+        {"sy": F.col("n") * F.col("off"), "syy": F.col("within") + F.col("n") * F.col("off") * F.col("off")}
     )
     sets = [["window", "_model"], ["window"]]
     for i in range(len(slices)):

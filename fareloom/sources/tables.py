@@ -57,6 +57,12 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"key {list(keys)} is not unique, e.g. {hit.asDict()}")
 
 
+def assert_month(df: DataFrame) -> None:
+    """A row without a month belongs to no partition that a later run could find again."""
+    if not df.filter(F.col(PARTITION).isNull()).isEmpty():
+        raise ValueError(f"{PARTITION} must not be null")
+
+
 def _columns(df: DataFrame) -> set[tuple[str, str]]:
     return {(f.name, f.dataType.simpleString()) for f in df.schema.fields}
 
@@ -93,6 +99,7 @@ def create_feature_table(path: str, keys: str, ts_key: str, df: DataFrame) -> Fe
         if _columns(old) != _columns(df):
             raise SchemaConflictError(f"{path} exists with columns {old.columns}")
         return table
+    assert_month(df)
     assert_unique(df, table.primary_key)
     _write_months(df, path, "errorifexists")
     return table
@@ -116,6 +123,7 @@ def upsert_feature_table(table: FeatureTable, source: DataFrame) -> None:
     that dies in between can be repeated. Frames read before the upsert have to be read again.
     """
     spark = source.sparkSession
+    assert_month(source)
     assert_unique(source, table.primary_key)
     # One short label per calendar month.
     months = [r[0] for r in source.select(PARTITION).distinct().collect()]

@@ -179,3 +179,17 @@ def test_column_profile_counts_nulls(spark):
     )
     row = quality.column_profile(df.withColumn("y", F.col("x")), ("x", "y"), "t").filter("column_name = 'y'").first()
     assert (row["num_values"], row["num_nulls"], row["avg"], row["min"], row["max"]) == (2, 1, 2.0, 1.0, 3.0)
+
+
+def test_r2_of_large_labels(spark):
+    """Labels near 1e9: the spread must not drown in their squares."""
+    rnd = random.Random(9)
+    rows = [
+        (dt(2024, 1, 1, i % 24), f"m{i % 3}", "a" if i % 2 else "b", 1e9 + rnd.random() * 50, 1e9 + rnd.random() * 50)
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, model_id string, s string, prediction double, label double")
+    got = quality.quality_profile(df, prediction="prediction", label="label", ts="ts", model="model_id", slices=["s"])
+    r = got.filter("model_id = '*' and slice_key is null").first()
+    p, y = (np.array([x[k] for x in rows]) for k in (3, 4))
+    assert r["r2_score"] == pytest.approx(1 - ((p - y) ** 2).sum() / ((y - y.mean()) ** 2).sum(), rel=1e-6)

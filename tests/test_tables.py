@@ -119,3 +119,13 @@ def test_shuffle_partitions_follow_the_input():
     assert partitions_for(10**9) == 200
     assert partitions_for(10**12) == 3726
     assert partitions_for(100 * 10**12) == 50_000
+
+
+def test_a_null_month_is_refused(spark, tmp_path):
+    table = tables.create_feature_table(str(tmp_path / "t"), "zip", "at", rows(spark, (1, 1, 10)))
+    bad = spark.createDataFrame([(9, None, None, 1)], ROWS)
+    with pytest.raises(ValueError):
+        tables.upsert_feature_table(table, bad)
+    with pytest.raises(ValueError):
+        tables.create_feature_table(str(tmp_path / "u"), "zip", "at", bad)
+    assert stored(table, spark) == [(1, "2024-01", 10)]
