@@ -215,7 +215,10 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFra
         )
 
     schema = "dim int, shard bigint, entry int, vectors binary, graph binary, ids array<array<bigint>>"
-    index = dealt.select("dim", "shard", "vector", "ids").groupBy("dim", "shard").applyInArrow(build, schema)
+    # A fixed number of partitions: shards are small in bytes but long in work, so none are merged.
+    most = shards.agg(F.sum("shards")).first()[0] or 1
+    dealt = dealt.select("dim", "shard", "vector", "ids").repartition(int(most), "dim", "shard")
+    index = dealt.groupBy("dim", "shard").applyInArrow(build, schema)
     return stage(index, "index"), shards
 
 
