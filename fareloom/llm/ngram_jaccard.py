@@ -9,8 +9,8 @@ product is never formed in full:
    by counts over all documents, in a fixed number of hash buckets, so n-grams of passages that many
    documents share stay out of this block.
 3. Pairs with an entry there must be able to reach the bound: the parity of n-grams per hash bit
-   differs in at most as many bits as the sets differ in elements, so one word of parity tells many
-   pairs apart before they are made, and four words most of the rest.
+   differs in at most as many bits as the sets differ in elements, so four words of parity tell most
+   pairs apart before they are made.
 4. The remaining column blocks are accumulated pair by pair; a pair is dropped as soon as what is
    left of the shorter row cannot lift its overlap to the bound that the two sizes set.
 
@@ -276,29 +276,15 @@ def _end(column: DataFrame, side: str) -> DataFrame:
     )
 
 
-def _need(percent: int) -> str:
-    return f"ceil({percent} * (n_a + n_b) / {100 + percent})"
-
-
 def _can_link(percent: int):
     """What the sizes ask of a pair that meets in a column of the first block."""
-    need = _need(percent)
+    need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
+    differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SKETCH)
     return F.expr(
-        f"pos_a <= n_a - {need} and pos_b <= n_b - {need} and bit_count(s0_a ^ s0_b) <= n_a + n_b - 2 * {need}"
+        f"pos_a <= n_a - {need} and pos_b <= n_b - {need} and {differ} <= n_a + n_b - 2 * {need}"
     )
 
 
-def _near_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose parity differs in no more bits than their sets may differ in elements."""
-    for side in ("a", "b"):
-        own = classes.select(
-            F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *SKETCH)]
-        )
-        pairs = pairs.join(own, side)
-    differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SKETCH)
-    return pairs.filter(F.expr(f"{differ} <= n_a + n_b - 2 * {_need(percent)}")).select("a", "b")
-
-
 def jaccard_components(
     docs: DataFrame,
     words: int = WORDS,
@@ -328,14 +314,14 @@ def jaccard_components(
     shared = block.groupBy("gram").agg(F.min(other).alias("pivot"), F.max(other).alias("last"))
     shared = shared.filter("pivot <> last").selectExpr("gram", "pivot ^ gram as pivot", "last ^ gram as last")
     column = block.join(shared, "gram").distinct()
-    column = stage(column.join(classes.select("class", "n", "s0"), "class"), "columns")
+    column = stage(column.join(classes.drop("first_id"), "class"), "columns")
 
     # Each row of a column against two of them. One exchange by n-gram serves both sides.
     rows_of = column.repartition("gram")
     first = _end(rows_of, "a").join(_end(rows_of.filter("class in (pivot, last)"), "b"), "gram")
     first = first.filter(F.expr("a <> b") & _can_link(percent))
     first = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    first = stage(_near_enough(first, classes, percent), "pairs")
+    first = stage(first, "pairs")
     known = stage(_needed_texts(texts, classes, first, words), "texts")
     links = stage(_linked(first, known, words, percent), "links")
 
@@ -348,7 +334,7 @@ def jaccard_components(
     second = _end(column, "a").join(_end(column, "b"), "gram")
     second = second.filter(F.expr("a > b and component_a <> component_b") & _can_link(percent))
     second = second.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    second = stage(_near_enough(second, classes, percent), "pairs")
+    second = stage(second, "pairs")
     if not second.isEmpty():
         more = stage(_needed_texts(texts, classes, second, words), "texts")
         links = links.unionByName(_linked(second, more, words, percent))
