@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
@@ -164,9 +164,17 @@ def _bucket_counts(rows: DataFrame):
 
 
 def _first_block(texts: DataFrame, counts, words: int, percent: int) -> DataFrame:
-    """gram, class, pos: every class's rarest n-grams in order, one row each. A task sends a class once."""
+    """gram, class, pos, prev: every class's rarest n-grams in order, one row each.
+
+    `prev` is the n-gram before, the last one for pos 0. A task sends a class once.
+    """
     schema = StructType(
-        [StructField("gram", LongType()), StructField("class", LongType()), StructField("pos", IntegerType())]
+        [
+            StructField("gram", LongType()),
+            StructField("class", LongType()),
+            StructField("pos", IntegerType()),
+            StructField("prev", LongType()),
+        ]
     )
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
@@ -176,7 +184,7 @@ def _first_block(texts: DataFrame, counts, words: int, percent: int) -> DataFram
         make, count, sent = set_maker(words), shared.value, set()
         mask = np.uint64(COUNT_BUCKETS - 1)
         for batch in batches:
-            grams, classes, places = [], [], []
+            grams, classes, places, before = [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = make(text or b"")
                 n = len(own)
@@ -186,12 +194,14 @@ def _first_block(texts: DataFrame, counts, words: int, percent: int) -> DataFram
                 sent.add(key)
                 keep = n - (percent * n + 99) // 100 + 1
                 order = np.lexsort((own, count[(own & mask).astype(np.int64)]))[:keep]
-                grams.append(own[order].view(np.int64))
+                rarest = own[order].view(np.int64)
+                grams.append(rarest)
+                before.append(np.roll(rarest, 1))
                 classes.append(np.full(keep, key, np.int64))
                 places.append(np.arange(keep, dtype=np.int32))
             if grams:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in (grams, classes, places)], names=schema.names
+                    [pa.array(np.concatenate(c)) for c in (grams, classes, places, before)], names=schema.names
                 )
 
     return texts.select("doc_id", "text").mapInArrow(run, schema)
@@ -308,16 +318,20 @@ def jaccard_components(
         rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), *firsts), "classes"
     )
 
-    block = _first_block(texts, counts, words, percent)
-    # Two rows of each column, other ones in every column: extremes of class xor n-gram.
-    other = F.col("class").bitwiseXOR(F.col("gram"))
-    shared = block.groupBy("gram").agg(F.min(other).alias("pivot"), F.max(other).alias("last"))
-    shared = shared.filter("pivot <> last").selectExpr("gram", "pivot ^ gram as pivot", "last ^ gram as last")
-    column = block.join(shared, "gram").distinct()
+    # Two rows of each column, other ones in every column: extremes of class xor n-gram. The block is
+    # made and shuffled once; n-grams of a single row go no further.
+    other, by_gram = F.col("class").bitwiseXOR(F.col("gram")), Window.partitionBy("gram")
+    column = _first_block(texts, counts, words, percent).withColumns(
+        {
+            "pivot": F.min(other).over(by_gram).bitwiseXOR(F.col("gram")),
+            "last": F.max(other).over(by_gram).bitwiseXOR(F.col("gram")),
+        }
+    )
+    column = column.filter("pivot <> last").distinct()
     column = stage(column.join(classes.drop("first_id"), "class"), "columns")
 
     # Each row of a column against two of them. One exchange by n-gram serves both sides.
-    rows_of = column.repartition("gram")
+    rows_of = column.drop("prev").repartition("gram")
     first = _end(rows_of, "a").join(_end(rows_of.filter("class in (pivot, last)"), "b"), "gram")
     first = first.filter(F.expr("a <> b") & _can_link(percent))
     first = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -325,14 +339,16 @@ def jaccard_components(
     known = stage(_needed_texts(texts, classes, first, words), "texts")
     links = stage(_linked(first, known, words, percent), "links")
 
-    # Then pairs from different components, if they share a column and were not compared yet.
+    # Then pairs from different components, if they share a column and were not compared yet. Rows
+    # with the same n-gram before this one have met there already, under bounds no tighter than here.
     label = components(links).select(F.col("node").alias("class"), "component")
     column = column.drop("pivot", "last").join(label, "class", "left")
     column = column.withColumn("component", F.coalesce("component", "class")).repartition("gram")
     mixed = column.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     column = column.join(mixed.filter("lo <> hi").select("gram"), "gram")
     second = _end(column, "a").join(_end(column, "b"), "gram")
-    second = second.filter(F.expr("a > b and component_a <> component_b") & _can_link(percent))
+    unmet = F.expr("pos_a = 0 or pos_b = 0 or prev_a <> prev_b")
+    second = second.filter(F.expr("a > b and component_a <> component_b") & unmet & _can_link(percent))
     second = second.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     second = stage(second, "pairs")
     if not second.isEmpty():
