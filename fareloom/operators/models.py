@@ -15,7 +15,6 @@ from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
-from pyspark.sql import functions as F
 
 from fareloom.functions.projections import with_model_stamp
 from fareloom.operators.asof import FeatureLookup, create_training_set

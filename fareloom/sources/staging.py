@@ -31,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
