@@ -318,21 +318,23 @@ def jaccard_components(
         rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), *firsts), "classes"
     )
 
-    # Two rows of each column, other ones in every column: extremes of class xor n-gram. The block is
-    # made and shuffled once; n-grams of a single row go no further.
-    other, by_gram = F.col("class").bitwiseXOR(F.col("gram")), Window.partitionBy("gram")
+    # The block is made and shuffled once; n-grams of a single row go no further.
+    by_gram = Window.partitionBy("gram")
     column = _first_block(texts, counts, words, percent).withColumns(
-        {
-            "pivot": F.min(other).over(by_gram).bitwiseXOR(F.col("gram")),
-            "last": F.max(other).over(by_gram).bitwiseXOR(F.col("gram")),
-        }
+        {"low": F.min("class").over(by_gram), "high": F.max("class").over(by_gram)}
     )
-    column = column.filter("pivot <> last").distinct()
+    column = column.filter("low <> high").drop("low", "high").distinct()
     column = stage(column.join(classes.drop("first_id"), "class"), "columns")
 
-    # Each row of a column against two of them. One exchange by n-gram serves both sides.
-    rows_of = column.drop("prev").repartition("gram")
-    first = _end(rows_of, "a").join(_end(rows_of.filter("class in (pivot, last)"), "b"), "gram")
+    # Each row of a column against two of them, other ones in every column: the extremes of class
+    # xor n-gram.
+    other, row = F.col("class").bitwiseXOR(F.col("gram")), F.struct("class", "pos", "n", *SKETCH)
+    pivots = F.array(F.min_by(row, other).over(by_gram), F.max_by(row, other).over(by_gram))
+    first = _end(column.drop("prev").withColumn("pivots", pivots), "a")
+    first = first.withColumn("pivot", F.explode("pivots_a")).drop("pivots_a")
+    first = first.withColumn("b", F.col("pivot.class")).withColumns(
+        {f"{c}_b": F.col(f"pivot.{c}") for c in ("pos", "n", *SKETCH)}
+    )
     first = first.filter(F.expr("a <> b") & _can_link(percent))
     first = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     first = stage(first, "pairs")
@@ -342,10 +344,11 @@ def jaccard_components(
     # Then pairs from different components, if they share a column and were not compared yet. Rows
     # with the same n-gram before this one have met there already, under bounds no tighter than here.
     label = components(links).select(F.col("node").alias("class"), "component")
-    column = column.drop("pivot", "last").join(label, "class", "left")
-    column = column.withColumn("component", F.coalesce("component", "class")).repartition("gram")
-    mixed = column.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    column = column.join(mixed.filter("lo <> hi").select("gram"), "gram")
+    column = column.join(label, "class", "left")
+    column = column.withColumn("component", F.coalesce("component", "class")).withColumns(
+        {"low": F.min("component").over(by_gram), "high": F.max("component").over(by_gram)}
+    )
+    column = column.filter("low <> high").drop("low", "high")
     second = _end(column, "a").join(_end(column, "b"), "gram")
     unmet = F.expr("pos_a = 0 or pos_b = 0 or prev_a <> prev_b")
     second = second.filter(F.expr("a > b and component_a <> component_b") & unmet & _can_link(percent))
