@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _wall_clock(bound: str | datetime) -> str:
+def wall_clock(bound: str | datetime) -> str:
     """A bound as text, so that it is not moved by the Python process's own time zone."""
     if isinstance(bound, str):
         return bound
@@ -28,9 +28,9 @@ def filter_by_ts(
         return df
     kind = df.schema[ts].dataType
     if start:
-        df = df.filter(F.col(ts) >= F.lit(_wall_clock(start)).cast(kind))
+        df = df.filter(F.col(ts) >= F.lit(wall_clock(start)).cast(kind))
     if end:
-        df = df.filter(F.col(ts) < F.lit(_wall_clock(end)).cast(kind))
+        df = df.filter(F.col(ts) < F.lit(wall_clock(end)).cast(kind))
     return df
 
 

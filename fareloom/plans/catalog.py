@@ -126,6 +126,25 @@ def feature_job(spark, d):
     return features.run_feature_job(**args, start="2024-01-15").read(spark)
 
 
+def _three_runs(spark, d, feature_set: str, ts: str) -> DataFrame:
+    """Three runs back to back, cut off the grid of windows."""
+    cuts = (None, "2024-01-12 07:10:00", "2024-01-20 18:37:30", None)
+    path, t = scratch_path(spark, "features"), _trips(spark, d)
+    for start, end in zip(cuts, cuts[1:]):
+        table = features.run_feature_job(t, feature_set, path, ts, start=start, end=end)
+    return table.read(spark)
+
+
+@query
+def feature_job_sliding(spark, d):
+    return _three_runs(spark, d, "pickup_features", PICKUP)
+
+
+@query
+def feature_job_tumbling(spark, d):
+    return _three_runs(spark, d, "dropoff_features", DROPOFF)
+
+
 @query
 def create_feature_table(spark, d):
     """A new table partitioned by month, its key checked."""

@@ -5,8 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from fareloom.operators.time_features import Bound, sliding_features, tumbling_features
+from fareloom.functions.predicates import wall_clock
+from fareloom.operators.time_features import (
+    TUMBLE_MINUTES,
+    WINDOW_MINUTES,
+    Bound,
+    sliding_features,
+    tumbling_features,
+)
 from fareloom.sources.staging import stage
 from fareloom.sources.tables import (
     FeatureTable,
@@ -23,9 +31,16 @@ FEATURE_SETS: dict[str, ComputeFeatures] = {
     "dropoff_features": tumbling_features,
 }
 
+# Minutes of input before its end that a window reads; sets without an entry have no windows.
+REACH_MINUTES = {"pickup_features": WINDOW_MINUTES, "dropoff_features": TUMBLE_MINUTES}
+
 
-def register_features(name: str, fn: ComputeFeatures) -> None:
+def register_features(name: str, fn: ComputeFeatures, reach_minutes: int | None = None) -> None:
+    """With `reach_minutes`, column `ts` of the features is the end of a window of that length."""
     FEATURE_SETS[name] = fn
+    REACH_MINUTES.pop(name, None)
+    if reach_minutes:
+        REACH_MINUTES[name] = reach_minutes
 
 
 def compute_features(
@@ -36,6 +51,29 @@ def compute_features(
     return FEATURE_SETS[name](df, ts, start, end)
 
 
+def whole_windows(
+    name: str, df: DataFrame, ts: str, start: Bound = None, end: Bound = None
+) -> DataFrame:
+    """The windows that end in (start, end], each from all of its input.
+
+    The input is read from one window length before `start`. A window that is not over at `end` is
+    left to the next run, so runs back to back write what one run over everything would.
+    """
+    reach = REACH_MINUTES.get(name)
+    if not reach:
+        return compute_features(name, df, ts, start, end)
+    kind = df.schema[ts].dataType
+    after = F.lit(wall_clock(start)).cast(kind) if start else None
+    if start:
+        df = df.filter(F.col(ts) >= after - F.expr(f"INTERVAL {reach} MINUTES"))
+    found = compute_features(name, df, ts, None, end)
+    if start:
+        found = found.filter(F.col(ts) > after)
+    if end:
+        found = found.filter(F.col(ts) <= F.lit(wall_clock(end)).cast(kind))
+    return found
+
+
 def run_feature_job(
     raw: DataFrame,
     feature_set: str,
@@ -50,7 +88,7 @@ def run_feature_job(
         if not value:
             raise ValueError(f"{name} is required")
     # Computed once: the key check, the list of months and the merge all read the staged rows.
-    features = stage(compute_features(feature_set, raw, ts, start, end), feature_set)
+    features = stage(whole_windows(feature_set, raw, ts, start, end), feature_set)
     existed = feature_table_exists(raw.sparkSession, path)
     table = create_feature_table(path, keys, ts, features)
     if existed:

@@ -141,6 +141,9 @@ SELECT * FROM old o WHERE NOT EXISTS (
 )
 ORACLES["create_feature_table"] = sql(TRIPS, sliding(), body="SELECT * FROM sliding")
 ORACLES["feature_job"] = _UPSERTED
+# One run over everything: runs back to back leave no window partly filled.
+ORACLES["feature_job_sliding"] = ORACLES["create_feature_table"]
+ORACLES["feature_job_tumbling"] = sql(TRIPS, tumbling("halves"), body="SELECT * FROM halves")
 ORACLES["merge_upsert"] = _UPSERTED
 ORACLES["key_duplicates"] = over_trips(
     "SELECT pickup_zip, dropoff_zip, COUNT(*) AS n FROM trips GROUP BY ALL HAVING COUNT(*) > 1"
