@@ -1,14 +1,21 @@
 """Licence notices by Dice coefficient over word bigrams, from DataFrame functions only.
 
-A text is compared stretch by stretch: each of its lines, and the whole text where it has several.
-Stretches and templates are normalised alike (case, punctuation, years of copyright) and become
-sets of word bigrams. With threshold t, sizes a and b can only reach t if
+A text is compared stretch by stretch: each of its lines, the whole text where it has several, and
+runs of words that need not follow its lines. Stretches and templates are normalised alike (case and
+punctuation) and become sets of word bigrams. With threshold t, sizes a and b can only reach t if
 t * (a + b) <= 2 * min(a, b); stretches too short or too long for every template are dropped before
 their bigrams are made, and templates whose size does not fit before they are compared.
+
+A run can only reach t if it holds t / (2 - t) of a template's bigrams. Most texts do not, and are
+done with after one look at each word pair; the others are searched, per template, from every place
+of one of its bigrams. Of runs that overlap only the nearest to its template counts.
 """
 
 from __future__ import annotations
 
+import math
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +84,17 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 
+# Up to so many bigrams of a template, runs start at every place of one; in longer templates places
+# nearer to each other than this part of the template are merged, which moves a start by less.
+MERGED_FROM = 256
+MERGED_PART = 128
+
+
+def full_texts() -> dict[str, list[str]]:
+    """The whole licences, from the package's own folder. Read on the driver."""
+    folder = Path(__file__).parent / "license_texts"
+    return {f.name.removesuffix(".txt"): [f.read_text("utf-8")] for f in sorted(folder.glob("*.txt"))}
+
 
 def normalised_words(text: str) -> list[str]:
     """Lower-case ASCII letters and digits; everything else separates words."""
@@ -101,11 +119,85 @@ def _words(stretch: Column) -> Column:
     return F.filter(F.split(lowered, "[^a-z0-9\\x{80}-\\x{10FFFF}]+"), lambda w: w != "")
 
 
-def _bigrams(words: Column) -> Column:
+def _all_bigrams(words: Column) -> Column:
     pairs = F.zip_with(
         words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b)
     )
-    return F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
+    return F.filter(pairs, lambda p: p.isNotNull())
+
+
+def _bigrams(words: Column) -> Column:
+    return F.array_distinct(_all_bigrams(words))
+
+
+def _among(name: str, grams: list[str]) -> str:
+    # Bigrams are letters, digits and a blank: nothing to escape. A long list becomes a hash set.
+    return f"{name} IN ({', '.join(repr(g) for g in grams)})"
+
+
+def _least_common(size: int, threshold: float) -> int:
+    """Bigrams that any stretch has to share with a template of that size."""
+    return math.ceil(size * threshold / (2 - threshold) - 1e-9)
+
+
+def _runs(number: int, name: str, words: int, own: list[str], threshold: float) -> str:
+    """SQL: the best run from every start, as structs (minus, name, s, e), for one template.
+
+    A bigram counts at its first place in the run, that is where the place before it (p) lies ahead
+    of the start. A best run ends on a bigram of the template; one that did not would gain by ending
+    earlier.
+    """
+    b = len(own)
+    need = _least_common(b, threshold)
+    longest = int(max(words - 1, b) * (2 - threshold) / threshold)
+    step = 1 if b <= MERGED_FROM else b // MERGED_PART
+    fresh = "IF(x.p < s, 1, 0)"
+    dice = f"2.0D * (y.c + {fresh}) / (y.a + {fresh} + {b})"
+    better = f"x.h AND x.p < s AND {dice} > y.b"
+    return f"""
+    IF(array_contains(_near, {number}),
+      flatten(transform(
+        array(transform(_grams, (g, i) -> named_struct('p', _before[i], 'h', {_among("g", own)}, 'i', i))),
+        z -> flatten(transform(array(transform(filter(z, x -> x.h), x -> x.i)), hits -> filter(transform(
+          filter(hits, (s, j) -> (s % {step} = 0 OR j = 0 OR hits[greatest(j - 1, 0)] < s - 1)
+            AND j + {need} <= size(hits) AND hits[least(j + {need}, size(hits)) - 1] - s < {longest}),
+          s -> transform(array(aggregate(
+            slice(z, s + 1, {longest}),
+            named_struct('i', 0, 'a', 0, 'c', 0, 'b', 0.0D, 'n', 0),
+            (y, x) -> named_struct(
+              'i', y.i + 1,
+              'a', y.a + {fresh},
+              'c', y.c + IF(x.h, {fresh}, 0),
+              'b', IF({better}, {dice}, y.b),
+              'n', IF({better}, y.i + 1, y.n)))),
+            y -> named_struct('minus', -y.b, 'name', '{name}', 's', s, 'e', s + y.n))[0]),
+          w -> w.minus <= -{threshold}D))))),
+      CAST(array() AS array<struct<minus: double, name: string, s: int, e: int>>))"""
+
+
+def _with_runs(grams: DataFrame, known: list[tuple[str, int, int, list[str]]], threshold: float) -> DataFrame:
+    """Adds `runs`, the best runs that do not overlap, to rows with `_grams`, all bigrams in order."""
+    every = list(dict.fromkeys(g for *_, own in known for g in own))
+    shared = grams.withColumn("_shared", F.expr(f"array_distinct(filter(_grams, g -> {_among('g', every)}))"))
+    reach = []
+    for number, (_, _, _, own) in enumerate(known):
+        need = _least_common(len(own), threshold)
+        reach.append(
+            f"IF(size(_shared) >= {need} AND size(filter(_shared, g -> {_among('g', own)})) >= {need}, {number}, NULL)"
+        )
+    near = shared.withColumn("_near", F.expr(f"filter(array({', '.join(reach)}), k -> k IS NOT NULL)"))
+    # Each bigram's last place before this one, or -1: neighbours in the order of (bigram, place).
+    before = near.withColumn("_before", F.expr("""
+      IF(size(_near) = 0, CAST(array() AS array<int>),
+        transform(array(sort_array(transform(_grams, (g, i) -> named_struct('g', g, 'i', i)))), o ->
+          transform(sort_array(transform(o, (x, k) -> named_struct('i', x.i, 'p',
+            IF(k > 0 AND o[greatest(k - 1, 0)].g = x.g, o[greatest(k - 1, 0)].i, -1)))), x -> x.p))[0])"""))
+    each = [_runs(k, name, words, own, threshold) for k, (name, _, words, own) in enumerate(known)]
+    found = before.withColumn("_found", F.expr(f"IF(size(_near) = 0, NULL, array_sort(flatten(array({', '.join(each)}))))"))
+    return found.withColumn("runs", F.expr("""
+      IF(_found IS NULL, CAST(array() AS array<struct<minus: double, name: string, s: int, e: int>>),
+        aggregate(_found, slice(_found, 1, 0),
+          (kept, w) -> IF(exists(kept, v -> v.s < w.e AND w.s < v.e), kept, concat(kept, array(w)))))"""))
 
 
 def license_scan(
@@ -114,12 +206,14 @@ def license_scan(
     templates: dict[str, list[str]] = TEMPLATES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    whole_licenses: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """doc_id, license, score and n_licenses of every row.
 
     `license` is the licence of the best stretch (the first by name among equals) with its Dice
     coefficient `score`; n_licenses counts the different licences of all stretches, each taken for its
     nearest template if that reaches `threshold`.
+    `whole_licenses` (by default those in `license_texts`) are looked for as runs of words only.
     Rows without one have null, null and 0: among them null, empty and blank texts. Repeated rows
     and null ids are kept as they are; an empty table stays empty. No shuffle, nothing but the row.
     """
@@ -130,8 +224,8 @@ def license_scan(
 
     # A bigram takes at least three characters and a set has no more bigrams than the text has words,
     # so a line too short for any template is dropped by its length, one too long only by its words.
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\r\n|\r|\n")
-    whole = F.when(F.size(lines) > 1, F.array(F.col(text_col))).otherwise(F.array().cast("array<string>"))
+    lines = F.split(F.coalesce(F.col("_text"), F.lit("")), "\r\n|\r|\n")
+    whole = F.when(F.size(lines) > 1, F.array(F.col("_text"))).otherwise(F.array().cast("array<string>"))
     long_enough = F.filter(F.concat(lines, whole), lambda s: F.length(s) >= 2 * fewest + 1)
     worded = F.filter(F.transform(long_enough, _words), lambda w: F.size(w) > fewest)
     sets = F.filter(
@@ -149,7 +243,22 @@ def license_scan(
         return F.array_min(F.array(*each))  # of all templates, the nearest counts
 
     hits = F.filter(F.transform(sets, best_of), lambda s: s.isNotNull())
-    found = docs.select(F.col(id_col).alias("doc_id"), hits.alias("hits"))
+    texts = full_texts() if whole_licenses is None else whole_licenses
+    sized = []
+    for group in (templates, texts):
+        for name, k, own in template_bigrams(group):
+            if own:
+                sized.append((name, k, len(normalised_words(group[name][k])), own))
+    grams = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("_text"),
+        _all_bigrams(_words(F.coalesce(F.col(text_col), F.lit("")))).alias("_grams"),
+    )
+    # Lines, the whole text and runs are all stretches of the row. A row near no template has no hit in any.
+    none = F.array().cast("array<struct<minus: double, name: string>>")
+    by_line = F.when(F.size("_near") > 0, hits).otherwise(none)
+    runs = F.transform("runs", lambda r: F.struct(r["minus"].alias("minus"), r["name"].alias("name")))
+    found = _with_runs(grams, sized, threshold).select("doc_id", F.concat(by_line, runs).alias("hits"))
     best = F.array_min("hits")
     return found.select(
         "doc_id",

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -331,6 +332,24 @@ def test_licenses(docs, empty):
     assert _rows(licenses.license_scan(empty)) == []
 
 
+def test_licenses_between_lines_and_texts(spark):
+    mit = licenses.TEMPLATES["MIT"][2]
+    gpl3, apache = licenses.TEMPLATES["GPL-3.0"][1], licenses.full_texts()["Apache-2.0"][0]
+    prose = " ".join(f"{WORDS[i % 14]} word{i}" for i in range(150))
+    texts = {
+        "wrapped": (prose + "\n" + textwrap.fill(mit, 78) + "\n" + prose, ("MIT", 1.0, 1)),
+        "sentence": ("This project is released under the MIT License.", ("MIT", 1.0, 1)),
+        "see": ("Licensed under the Apache License, Version 2.0. See LICENSE for details.", ("Apache-2.0", 1.0, 1)),
+        "nearest": (f"{prose} {gpl3} {prose}", ("GPL-3.0", 1.0, 1)),
+        "two": (f"{prose} {gpl3} {prose} {textwrap.fill(mit, 60)} {prose}", ("GPL-3.0", 1.0, 2)),
+        "full": (prose + "\n" + apache + "\n" + prose, ("Apache-2.0", 1.0, 1)),
+        "prose": (prose, (None, None, 0)),
+    }
+    table = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id string, text string")
+    got = {r[0]: tuple(r[1:]) for r in licenses.license_scan(table).collect()}
+    assert got == {k: want for k, (_, want) in texts.items()}
+
+
 def test_urls(spark):
     urls = [
         None, "", "no scheme", "http://A.Example.COM/en/x?q#f", "https://www.example.com/en/", "http://x.net/es/1",
