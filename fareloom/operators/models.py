@@ -9,7 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
@@ -99,16 +99,16 @@ def register_model(name: str, factory: Callable[..., Estimator]) -> None:
 
 
 def with_assembler(estimator: Estimator, features: Sequence[str]) -> Pipeline:
-    """A missing feature goes to the model as NaN, so that scoring keeps every row."""
-    assembler = VectorAssembler(
-        inputCols=list(features), outputCol="features", handleInvalid="keep"
-    )
-    return Pipeline(stages=[assembler, estimator])
+    """A missing feature becomes the training rows' median: fits and scoring keep every row."""
+    filled = [f"_filled_{f}" for f in features]
+    imputer = Imputer(inputCols=list(features), outputCols=filled, strategy="median")
+    assembler = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[imputer, assembler, estimator])
 
 
 def fit(name: str, train: DataFrame, features: Sequence[str], label: str = LABEL, **params) -> Model:
-    """Fit a registered model on the complete rows. The data stays in Spark."""
-    frame = train.select(*features, label).dropna()
+    """Fit a registered model on the rows with a label. The data stays in Spark."""
+    frame = train.select(*features, label).dropna(subset=[label])
     return with_assembler(MODELS[name](label, **params), features).fit(frame)
 
 
@@ -166,7 +166,7 @@ def tune(
     parallelism: int = 4,
 ) -> tuple[Model, list[dict]]:
     """Random search; the best draw is fitted again on all rows. Returns it and all trials."""
-    frame = train.select(*features, label).dropna()
+    frame = train.select(*features, label).dropna(subset=[label])
     estimator = gbt(label, rounds)
     grid, trials = [], draw_trials(n, seed)
     for t in trials:
@@ -199,7 +199,7 @@ def compare_models(
 ) -> DataFrame:
     """Hold-out RMSE of every registered model, best first."""
     params = params or {}
-    train = train.select(*features, label).dropna().persist()
+    train = train.select(*features, label).dropna(subset=[label]).persist()
     try:
         rows = []
         for name in MODELS:

@@ -677,8 +677,8 @@ def signature_sample(spark, d):
 
 def _learning_frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Train and hold-out rows. Staged, since a fit reads its input many times."""
-    clean = _trips(spark, d).filter(all_positive("fare_amount", "trip_distance"))
-    frame = stage(training.inline_training_features(clean, keep=("trip_id",)), "training")
+    raw = _trips(spark, d)
+    frame = stage(training.inline_training_features(raw, keep=("trip_id",)), "training")
     # A small file is one partition; give every core a share.
     spread = frame.repartition(spark.sparkContext.defaultParallelism, "trip_id")
     return split.train_test_split(spread, "trip_id")
@@ -709,12 +709,11 @@ def fit_random_forest(spark, d):
 @query
 def tune(spark, d):
     train, _ = _learning_frames(spark, d)
-    _, trials = models.tune(train, models.FEATURES, rounds=20)
+    _, trials = models.tune(train, models.FEATURES)
     return spark.createDataFrame(trials, "leaves int, rate double, min_child int, rmse double")
 
 
 @query
 def compare_models(spark, d):
     train, test = _learning_frames(spark, d)
-    sizes = {"gbt": {"rounds": 20}, "random_forest": {"trees": 20, "depth": 8}}
-    return models.compare_models(train, test, models.FEATURES, params=sizes)
+    return models.compare_models(train, test, models.FEATURES)

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from fareloom.operators import knn, models, split
 from fareloom.operators.compare import frame_diff
+from fareloom.plans import catalog
+from fareloom.sources import views
 
 
 @pytest.fixture(scope="module")
@@ -70,6 +72,26 @@ def test_scoring_keeps_every_row(linear):
     assert out.columns == [*test.columns, "prediction", "model_id", "timestamp"]
 
 
+def test_rows_with_a_gap_are_trained_on(spark):
+    # Only rows that miss `x` show what `y` does.
+    rows = [(None, float(y), 2.0 * y) for y in range(50)] + [(1.0, 0.0, 0.0)] * 10
+    df = spark.createDataFrame(rows, "x double, y double, fare_amount double")
+    model = models.fit_elastic_net(df, ("x", "y"), alpha=0.0)
+    assert models.holdout_rmse(model, df) < 0.01
+    assert model.transform(df).filter("isnan(prediction)").count() == 0
+
+
+def test_catalog_fits_all_rows_with_the_defaults(spark, small, monkeypatch):
+    calls = {}
+    monkeypatch.setattr(models, "tune", lambda *a, **k: calls.update(tune=(a, k)) or (None, [(16, 0.1, 5, 1.0)]))
+    monkeypatch.setattr(models, "compare_models", lambda *a, **k: calls.update(compare=(a, k)))
+    catalog.tune(spark, small)
+    catalog.compare_models(spark, small)
+    assert not calls["tune"][1] and not calls["compare"][1]
+    train, test = calls["compare"][0][:2]
+    assert train.count() + test.count() == views.trips(spark, small).count()
+
+
 def test_ab_scoring_mixes_model_kinds(linear):
     train, test = linear
     line = models.fit_elastic_net(train, X)
