@@ -9,11 +9,14 @@ of 4 with a chance of 7e-10 (at 0.85: 6e-13).
 1. Documents with the same set are one class, by a 64-bit hash of the set; copies never meet.
 2. A bucket's classes are held against its pivot, the smallest class. A group of near copies has
    nearly the same pivot in all buckets, so it costs few pairs a member, however large it is.
-3. What a bucket still holds of different components meets other pivots in further rounds, and
-   after those only pairs from different components are left to look at, under the same bounds.
-4. Before a pair is compared, exact bounds drop it: the sizes, and parity words (the parity of
-   shingles per hash bit differs in at most as many bits as two sets differ in elements).
-5. The pairs left are confirmed on the full sets, made again from the texts.
+3. Of what buckets still hold of different components, shingles that no other such class has are
+   counted: they cannot be part of an overlap. A class with too many of them links with none.
+4. The rest meets other pivots in further rounds, and after those only pairs from different
+   components are left to look at.
+5. Before a pair is compared, exact bounds drop it: the sizes less the shingles of one class alone,
+   and parity words (the parity of shingles per hash bit differs in at most as many bits as two sets
+   differ in elements).
+6. The pairs left are confirmed on the full sets, made again from the texts.
 
 Pivots come from aggregates combined before the shuffle and go back by a join, which splits a hot
 bucket; no bucket is gathered in one task.
@@ -34,7 +37,7 @@ from fareloom.sources.staging import stage
 WORDS = 4
 PERCENT = 80
 BANDS, ROWS = 40, 4
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2  # besides the first pivot
 SKETCH = ("s0", "s1", "s2", "s3")  # 256 parity bits
 MOST_SENT = 1_000_000  # classes a task remembers to have signed
 STEP_SHINGLES = 1024  # shingles signed in one numpy step
@@ -130,30 +133,27 @@ def _end(rows: DataFrame, side: str) -> DataFrame:
 
 
 def _possible(percent: int) -> Column:
-    """What the sizes and parity words ask of a pair."""
+    """What the sizes, the shingles others have too (m) and the parity words ask of a pair."""
     need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
     differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SKETCH)
-    return F.expr(f"least(n_a, n_b) >= {need} and {differ} <= n_a + n_b - 2 * {need}")
+    return F.expr(f"least(m_a, m_b) >= {need} and {differ} <= n_a + n_b - 2 * {need}")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs that the bounds leave possible."""
-    ends = classes.select("class", "n", *SKETCH)
+    ends = classes.select("class", "n", "m", *SKETCH)
     pairs = pairs.join(_end(ends, "a"), "a").join(_end(ends, "b"), "b")
     return pairs.filter(_possible(percent)).select("a", "b")
 
 
-def _texts_of(texts: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """class, text of one document for each class in `pairs`.
+def _texts_of(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """class, text of one document for each class in `wanted` (class, first_id).
 
     A Bloom filter of bounded size over the wanted documents' ids lets few texts past the scan; the
     class, made again, is joined exactly.
     """
-    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
-    wanted = stage(wanted.distinct(), "wanted")
-    shared = texts.sparkSession.sparkContext.broadcast(
-        build_filter(classes.join(wanted, "class").select(F.col("first_id").alias("key")))
-    )
+    wanted = stage(wanted, "wanted")
+    shared = texts.sparkSession.sparkContext.broadcast(build_filter(wanted.select(F.col("first_id").alias("key"))))
 
     def run(batches):
         import numpy as np
@@ -172,6 +172,29 @@ def _texts_of(texts: DataFrame, classes: DataFrame, pairs: DataFrame, words: int
     return stage(made.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "texts")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+
+
+def _alone(texts: DataFrame, words: int) -> DataFrame:
+    """class, alone: how many of its shingles no other class of `texts` has (classes with any)."""
+
+    def run(batches):
+        import numpy as np
+
+        make = set_maker(words)
+        for batch in batches:
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                grams = make(text.as_py()).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams), pa.array(np.full(len(grams), own, np.int64))], names=["shingle", "class"]
+                )
+
+    held = texts.select("class", "text").mapInArrow(run, "shingle bigint, class bigint")
+    single = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("class")).filter("c = 1")
+    return single.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the bound; `texts` has the text of each class."""
     both = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a")
@@ -219,36 +242,41 @@ def near_duplicates(
     signed = stage(_signed(texts, words, bands, rows), "signed")
     firsts = [F.first(c).alias(c) for c in ("n", *SKETCH)]
     classes = signed.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), *firsts)
-    classes = stage(classes, "classes")
+    classes = stage(classes.withColumn("m", F.col("n")), "classes")
 
     members = signed.filter("keys is not null").select("class", F.explode("keys").alias("key"))
     pivots = stage(_mixed(members, "class", F.min("class")), "pivots")
     members = stage(members.join(pivots, "key"), "members")
-    links, compared, label = None, None, None
-    for k in range(pivot_rounds):
-        if k:
-            # Another pivot for what is still apart: the least of another order in each round.
-            other = F.min_by("class", F.xxhash64("class", F.lit(k)))
-            pivots = stage(_mixed(members, "component", other), "pivots")
-            members = stage(members.join(pivots, "key"), "members")
-        apart = "class <> pivot" if label is None else "class <> pivot and component <> pivot_component"
-        if label is not None:
-            of_pivot = label.select(F.col("class").alias("pivot"), F.col("component").alias("of_pivot"))
-            members = members.join(of_pivot, "pivot", "left")
-            members = members.withColumn("pivot_component", F.coalesce("of_pivot", "pivot"))
-        pairs = members.filter(apart).select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
-        pairs = _bounded(pairs, classes, percent)
-        pairs = _new(pairs, compared)
-        links, compared, label = _compare(texts, classes, stage(pairs, "pairs"), links, compared, label, words, percent)
+    pairs = members.filter("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
+    compared = stage(_bounded(pairs, classes, percent), "pairs")
+    own = _texts_of(texts, classes.join(_ends(compared), "class").select("class", "first_id"), words)
+    links = stage(_confirmed(compared, own, words, percent), "links")
+    label = _components_of(links)
+
+    # What is left apart, with what it may share.
+    members = _labelled(members.select("key", "class"), label)
+    members = stage(members.join(_mixed(members, "component", F.min("class")).select("key"), "key"), "members")
+    rest = classes.join(members.select("class").distinct(), "class", "left_semi")
+    own = _texts_of(texts, rest.select("class", "first_id"), words)
+    rest = rest.join(_alone(own, words), "class", "left").withColumn("m", F.col("n") - F.coalesce("alone", F.lit(0)))
+    rest = stage(rest.filter(f"100 * m >= {percent} * n").drop("alone"), "rest")
+    members = members.join(rest.select("class"), "class")
+    for k in range(1, pivot_rounds + 1):
+        # Another pivot for what is still apart: the least in another order in each round.
+        pivots = stage(_mixed(members, "component", F.min_by("class", F.xxhash64("class", F.lit(k)))), "pivots")
+        members = stage(members.join(pivots, "key"), "members")
+        of_pivot = label.select(F.col("class").alias("pivot"), F.col("component").alias("of_pivot"))
+        pairs = members.join(of_pivot, "pivot", "left").filter("component <> coalesce(of_pivot, pivot)")
+        pairs = pairs.select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
+        pairs = stage(_new(_bounded(pairs, rest, percent), compared), "pairs")
+        links, compared, label = _compare(own, pairs, links, compared, label, words, percent)
         members = _labelled(members.select("key", "class"), label)
-
     left = _mixed(members, "component", F.min("class")).select("key")
-    left = members.join(left, "key").join(classes.select("class", "n", *SKETCH), "class")
-    left = stage(left, "members")
+    left = stage(members.join(left, "key").join(rest.select("class", "n", "m", *SKETCH), "class"), "members")
     pairs = _end(left, "a").join(_end(left, "b"), "key")
     pairs = pairs.filter(F.expr("a > b and component_a <> component_b") & _possible(percent))
     pairs = stage(_new(pairs.select("a", "b").distinct(), compared), "pairs")
-    links, compared, label = _compare(texts, classes, pairs, links, compared, label, words, percent)
+    links, compared, label = _compare(own, pairs, links, compared, label, words, percent)
 
     owner = _labelled(classes.select("class", "first_id"), label)
     least = owner.groupBy("component").agg(F.min("first_id").alias("least_id"))
@@ -259,10 +287,8 @@ def near_duplicates(
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
 
-def _new(pairs: DataFrame, compared: DataFrame | None) -> DataFrame:
+def _new(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     """The pairs that were not compared yet, either way round."""
-    if compared is None:
-        return pairs
     either = compared.unionByName(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return pairs.join(either, ["a", "b"], "left_anti")
 
@@ -271,12 +297,17 @@ def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
     return rows.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
-def _compare(texts, classes, pairs, links, compared, label, words, percent):
+def _components_of(links: DataFrame) -> DataFrame:
+    return stage(components(links).select(F.col("node").alias("class"), "component"), "label")
+
+
+def _compare(texts, pairs, links, compared, label, words, percent):
     """Links, compared pairs and component of each linked class, with `pairs` looked at as well."""
-    if not pairs.isEmpty():
-        own = _confirmed(pairs, _texts_of(texts, classes, pairs, words), words, percent)
-        links = stage(own if links is None else links.unionByName(own), "links")
-        label = stage(components(links).select(F.col("node").alias("class"), "component"), "label")
-    elif label is None:
-        label = classes.select("class", F.col("class").alias("component")).limit(0)
-    return links, pairs if compared is None else stage(compared.unionByName(pairs), "compared"), label
+    if pairs.isEmpty():
+        return links, compared, label
+    more = stage(_confirmed(pairs, texts, words, percent), "links")
+    compared = compared.unionByName(pairs)
+    if more.isEmpty():
+        return links, compared, label
+    links = links.unionByName(more)
+    return links, compared, _components_of(links)
