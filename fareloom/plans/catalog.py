@@ -31,7 +31,7 @@ from fareloom.plans import billing, features, medallion, training
 from fareloom.sources import readers, tables, views
 from fareloom.sources.staging import scratch_path, stage
 from fareloom.streaming import layers
-from fareloom.streaming.window_features import stream_sliding_features, stream_tumbling_features
+from fareloom.streaming.window_features import SLIDING, TUMBLING, FeatureStream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -338,22 +338,27 @@ def stream_gold(spark, d):
     return rounded(store.read("gold_nyc_taxi"), "avg_fare_per_zip")
 
 
-def _finished_stream(spark: SparkSession, name: str, stream: DataFrame) -> DataFrame:
-    store = layers.LayerStore(spark, scratch_path(spark, "s"))
-    layers.append_layer(store, name, stream)
-    return store.read(name)
+ARRIVALS = 6  # lots the trips of a streaming feature query come in
+
+
+def _shuffled_trip_stream(spark: SparkSession, d: str) -> DataFrame:
+    """All trips in lots that are not in time order, two lots to a micro-batch."""
+    ev = views.events(spark, d)
+    path = scratch_path(spark, "arrivals")
+    ev.repartition(ARRIVALS, F.xxhash64("event_id")).write.option("maxRecordsPerFile", 0).parquet(path)
+    return views.trips_from_events(readers.stream_path(spark, path, ev.schema, max_files_per_trigger=2))
 
 
 @query
 def stream_sliding(spark, d):
-    out = stream_sliding_features(_trip_stream(spark, d), PICKUP)
-    return _finished_stream(spark, "sliding", out)
+    features = FeatureStream(spark, scratch_path(spark, "s"), SLIDING, PICKUP)
+    return features.run(_shuffled_trip_stream(spark, d))
 
 
 @query
 def stream_tumbling(spark, d):
-    out = stream_tumbling_features(_trip_stream(spark, d), PICKUP)
-    return _finished_stream(spark, "tumbling", out)
+    features = FeatureStream(spark, scratch_path(spark, "s"), TUMBLING, DROPOFF)
+    return features.run(_shuffled_trip_stream(spark, d))
 
 
 # --- features and training sets -------------------------------------------------------------

@@ -61,3 +61,20 @@ def release(spark: SparkSession) -> int:
     for path in paths:
         spark.range(0).write.mode("overwrite").parquet(path)
     return len(paths)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, on whatever file system they are."""
+    files, target = _file_system(spark, pattern)
+    return [str(f.getPath().toString()) for f in files.globStatus(target) or []]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package wrote, on whatever file system it is."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
