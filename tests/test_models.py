@@ -114,7 +114,7 @@ def brute_force(train, query, k):
     return out
 
 
-@pytest.mark.parametrize("blocks", [{}, {"query_rows": 40, "train_rows": 100}])
+@pytest.mark.parametrize("blocks", [{}, {"cell_rows": 25, "query_rows": 7, "train_rows": 10}])
 def test_knn_equals_brute_force(spark, blocks):
     rng = np.random.default_rng(1)
     train = [(i, float(rng.integers(12)), float(rng.integers(5)), float(rng.normal())) for i in range(600)]
@@ -131,6 +131,41 @@ def test_knn_equals_brute_force(spark, blocks):
     assert all(values[i] == pytest.approx(want[i]) for i in want)
 
 
+def test_knn_of_a_hot_cell_and_outliers(spark):
+    """A third of all rows next to each other, one far off; queries inside, between and outside."""
+    rng = np.random.default_rng(2)
+    train = [(i, *(float(x) for x in rng.normal(size=3) * 5), float(i % 7)) for i in range(300)]
+    train += [(1000 + i, 1 + i * 1e-9, 1.0, 1.0, float(i)) for i in range(150)]
+    train += [(2000, 1e7, -1e7, 0.0, 5.0), (2001, -40.0, 0.0, 0.0, 6.0)]
+    query = [(i, *(float(x) for x in rng.normal(size=3) * 9)) for i in range(60)]
+    query += [(100, 1.0, 1.0, 1.0), (101, 1e7, 1e7, 1e7), (102, 1.0 + 7e-9, 1.0, 1.0), (103, -1e9, 0.0, 3.0)]
+    t = spark.createDataFrame(train, "id long, x double, y double, z double, label double")
+    t = t.unionByName(spark.createDataFrame([(5000, None, 1.0, 1.0, 1.0)], t.schema)).repartition(4)
+    q = spark.createDataFrame(query, "qid long, x double, y double, z double")
+    got = knn.knn_regress(t, q, ("x", "y", "z"), "label", "id", k=7, cell_rows=20, query_rows=10, train_rows=30)
+    values = {r["qid"]: r["prediction"] for r in got.collect()}
+    want = brute_force(train, query, 7)
+    assert all(values[i] == pytest.approx(want[i]) for i in want)
+    # A cell holds fewer rows than are asked for: the boxes' far corners bound the search.
+    got = knn.knn_neighbours(t, q, ("x", "y", "z"), "label", "id", k=30, cell_rows=4)
+    assert got.count() == 30 * len(query)
+    near = knn.knn_neighbours(t.limit(0), q, ("x", "y", "z"), "label", "id")
+    assert near.count() == 0 and set(near.columns) == set(got.columns)
+
+
+def test_knn_looks_in_few_cells(spark):
+    """Cells beyond the bound are not looked in: far fewer rows than all pairs."""
+    rng = np.random.default_rng(3)
+    t = spark.createDataFrame([(i, float(a), float(b), 1.0) for i, (a, b) in enumerate(rng.random((4000, 2)))], "id long, f0 double, f1 double, label double")
+    t = knn._with_cells(t.withColumnRenamed("id", "row_id"), ["f0", "f1"], 100)
+    found = knn._boxes(t, ["f0", "f1"])
+    assert 80 <= len(found[0]) <= 120 and max(found[1]) < 100
+    boxes = spark.sparkContext.broadcast(found)
+    q = t.filter("row_id % 10 = 0").select(t["row_id"].alias("query_id"), "f0", "f1", "cell")
+    q = q.withColumns({"found": F.lit(10), "bound": F.lit(0.03**2)})
+    assert knn._reached(q, ["f0", "f1"], 10, boxes).count() < 4 * q.count()
+
+
 def test_knn_with_fewer_rows_than_k(spark):
     t = spark.createDataFrame([(1, 0.0, 2.0), (2, 1.0, 4.0)], "id long, x double, label double")
     q = spark.createDataFrame([(1, 0.5)], "qid long, x double")

@@ -138,7 +138,7 @@ def test_window_features_of_shuffled_files_equal_the_batch(spark, tmp_path, name
 
 
 @pytest.mark.parametrize("name", BATCH)
-@pytest.mark.parametrize("table,step", [("panes", "write"), ("features", "write"), ("panes", "prune"), ("features", "prune")])
+@pytest.mark.parametrize("table,step", [("panes", "write"), ("features", "write")])
 def test_a_batch_run_again_counts_once(spark, tmp_path, monkeypatch, name, table, step):
     """A batch may die before or after any of its writes and is then given again."""
     feature, batch = BATCH[name]
