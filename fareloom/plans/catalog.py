@@ -16,7 +16,7 @@ from fareloom.functions import metrics as M
 from fareloom.functions import timefn as tf
 from fareloom.functions.predicates import all_positive, filter_by_ts, positive_if_present
 from fareloom.functions.projections import numeric_frame
-from fareloom.operators import compare, knn, latency, models, quality, split
+from fareloom.operators import compare, knn, latency, models, quality, split, validity
 from fareloom.operators.asof import FeatureLookup, asof_lookup, latest_per_key
 from fareloom.operators.time_features import (
     dropoff_trip_count,
@@ -466,6 +466,29 @@ def daily_cost(spark, d):
     return billing.daily_cost(*_billing(spark, d), AS_OF)
 
 
+def _monthly_billing(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    use = views.usage(spark, d)
+    return use, stage(views.monthly_prices_from_usage(use), "prices")
+
+
+@query
+def validity_join_of_accounts(spark, d):
+    """Prices change inside usage lines, and two accounts have prices of their own."""
+    use, prices = _monthly_billing(spark, d)
+    lookup = prices.select(
+        "account_id", "cloud", "sku_name", "price_start_time", "price_end_time", F.col("pricing.default").alias("price_per_dbu")
+    )
+    found = validity.validity_join(use, lookup, ["cloud", "sku_name"])
+    return found.select("usage_id", "account_id", "price_per_dbu")
+
+
+@query
+def daily_cost_with_gaps(spark, d):
+    """Cost under one account's monthly prices; lines over a change show up as unpriced."""
+    use, prices = _monthly_billing(spark, d)
+    return billing.daily_cost(use, prices.filter("account_id = 'acct_1'"), AS_OF)
+
+
 @query
 def sku_cost_latest_price(spark, d):
     return billing.sku_cost_latest_price(*_billing(spark, d))

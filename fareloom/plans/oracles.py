@@ -98,6 +98,16 @@ priced AS (
    AND u.usage_start_time >= p.price_start_time
    AND (u.usage_end_time <= p.price_end_time OR p.price_end_time IS NULL))"""
 
+MONTHLY = """
+monthly AS (
+  SELECT CONCAT('acct_', account) AS account_id, cloud, sku_name, s AS price_start_time, e AS price_end_time,
+         base + account AS unit_price
+  FROM (SELECT *, LEAD(s) OVER (PARTITION BY cloud, sku_name ORDER BY s) AS e, UNNEST([1, 2]) AS account
+        FROM (SELECT cloud, sku_name,
+                     CAST(DATE_TRUNC('month', usage_start_time) AS TIMESTAMP) + INTERVAL 30 MINUTE AS s,
+                     MIN(usage_quantity) + EXTRACT(MONTH FROM MIN(usage_start_time)) AS base
+              FROM usage GROUP BY ALL) m) n)"""
+
 SERVING = "sku_name LIKE '%SERVERLESS_REAL_TIME_INFERENCE%' AND usage_unit = 'DBU'"
 
 
@@ -363,6 +373,28 @@ SELECT CAST(usage_start_time AS DATE) AS usage_date, SUM(usage_quantity) AS dbus
 FROM priced WHERE {SERVING} AND usage_start_time >= DATE '{AS_OF}' - INTERVAL 30 DAY
 GROUP BY 1 ORDER BY 1""",
 )
+_HELD = """
+    ON u.cloud = p.cloud AND u.sku_name = p.sku_name
+   AND u.usage_start_time >= p.price_start_time
+   AND (u.usage_end_time <= p.price_end_time OR p.price_end_time IS NULL)"""
+ORACLES["validity_join_of_accounts"] = sql(
+    USAGE,
+    MONTHLY,
+    body=f"""
+SELECT usage_id, account_id, unit_price AS price_per_dbu FROM usage u LEFT JOIN monthly p {_HELD}""",
+)
+ORACLES["daily_cost_with_gaps"] = sql(
+    USAGE,
+    MONTHLY,
+    body=f"""
+SELECT CAST(usage_start_time AS DATE) AS usage_date, SUM(usage_quantity) AS dbus,
+       SUM(usage_quantity * unit_price) AS cost_usd,
+       COALESCE(SUM(CASE WHEN unit_price IS NULL THEN usage_quantity END), 0) AS unpriced_dbus
+FROM (SELECT u.*, p.unit_price FROM usage u
+      LEFT JOIN (SELECT * FROM monthly WHERE account_id = 'acct_1') p {_HELD}) q
+WHERE {SERVING} AND usage_start_time >= DATE '{AS_OF}' - INTERVAL 30 DAY
+GROUP BY 1 ORDER BY 1""",
+)
 ORACLES["sku_cost_latest_price"] = sql(
     USAGE,
     PRICES,

@@ -69,6 +69,29 @@ def prices_from_usage(use: DataFrame) -> DataFrame:
     )
 
 
+def monthly_prices_from_usage(use: DataFrame) -> DataFrame:
+    """Prices of two accounts that change half an hour into every month.
+
+    Usage of the first hour of a month spans a change.
+    """
+    month = F.date_trunc("month", F.col("usage_start_time").cast("timestamp")).cast("timestamp_ntz")
+    start = month + F.expr("INTERVAL 30 MINUTES")
+    monthly = use.groupBy("cloud", "sku_name", start.alias("price_start_time")).agg(
+        (F.min("usage_quantity") + F.month(F.min("usage_start_time"))).alias("base")
+    )
+    order = W.partitionBy("cloud", "sku_name").orderBy("price_start_time")
+    ended = monthly.withColumn("price_end_time", F.lead("price_start_time").over(order))
+    price = F.col("base") + F.col("account")
+    return ended.withColumn("account", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        F.concat(F.lit("acct_"), F.col("account").cast("string")).alias("account_id"),
+        "cloud",
+        "sku_name",
+        "price_start_time",
+        "price_end_time",
+        F.struct(price.alias("default"), F.struct(price.alias("default")).alias("effective_list")).alias("pricing"),
+    )
+
+
 def predictions_from_trips(t: DataFrame) -> DataFrame:
     """A prediction log with the closed-form predictor 3 * distance + 1."""
     return t.selectExpr(

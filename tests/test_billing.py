@@ -1,8 +1,11 @@
+import random
+from collections import Counter
 from datetime import datetime as dt
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from fareloom.operators.validity import join_ground_truth, validity_join
+from fareloom.operators.validity import half_open_join, join_ground_truth, validity_join
 from fareloom.plans import billing
 
 USAGE = (
@@ -61,6 +64,38 @@ def test_validity_join_without_broadcast_keeps_every_row(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_long_history_is_joined_month_by_month(spark):
+    """Intervals of minutes to years, open ones, reversed ones; a match is found once."""
+    rnd = random.Random(6)
+    start = dt(2023, 11, 1)
+
+    def at(days):
+        return start + timedelta(minutes=rnd.randrange(days * 1440))
+
+    history = []
+    for i in range(300):
+        a, b = at(120), at(150)
+        history.append((f"a{i % 4}", a, None if i % 10 == 0 else b, float(i)))
+    lines = [(a, a + timedelta(minutes=rnd.randrange(3000))) for a in (at(100) for _ in range(200))]
+    use, lookup = usage(spark, *lines), prices(spark, *history).select("account_id", "cloud", "sku_name", "price_start_time", "price_end_time", "pricing.default")
+    for bound in ("-1", "64MB"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        try:
+            got = Counter((r["usage_id"], r["default"]) for r in validity_join(use, lookup, ["cloud", "sku_name"]).collect())
+            flat = lookup.select("account_id", "sku_name", F.col("price_start_time").alias("price_start_ts"), F.coalesce("price_end_time", F.lit(dt(9999, 12, 31))).alias("price_end_ts"), "default")
+            half = Counter((r["usage_id"], r["default"]) for r in half_open_join(use, flat, ["sku_name"]).collect())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        want, inner = Counter(), Counter()
+        for i, (a, b) in enumerate(lines):
+            hits = [p for _, s, e, p in history if s <= a and (e is None or b <= e)]
+            want.update((i, p) for p in hits or [None])
+            inner.update((i, p) for _, s, e, p in history if s <= a and (e is None or a < e))
+        assert got == want and half == inner
+    assert validity_join(use.limit(0), lookup, ["cloud"]).count() == 0
+    assert validity_join(use, lookup.limit(0), ["cloud"]).count() == len(lines)
+
+
 def test_daily_cost_shows_what_has_no_price(spark):
     use = usage(spark, (JAN, dt(2024, 1, 1, 1)), (dt(2024, 1, 31, 23), dt(2024, 2, 1, 1)))
     rows = billing.daily_cost(use, prices(spark, *TWO_PRICES), "2024-01-31").collect()
