@@ -617,6 +617,17 @@ def latency_sketch(spark, d):
     return latency.latency_summary_approx(views.request_log(spark, d))
 
 
+@query
+def latency_trend(spark, d):
+    """Daily quantiles from hourly sketches, held against the ranks in the log."""
+    log = views.events(spark, d).select("ts", F.col("value").alias("latency_ms"))
+    probs = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    sketches = stage(latency.latency_sketches(log, "ts", "1 hour"), "sketches")
+    trend = latency.latency_trend(sketches, "1 day", probs)
+    found = latency.rank_errors(log, trend, "ts", "1 day", probs)
+    return found.join(trend.select("window_start", F.col("requests").alias("sketched")), "window_start")
+
+
 # --- splits, comparison, scoring ------------------------------------------------------------
 
 

@@ -599,6 +599,10 @@ summary AS (
 ORACLES["latency_summary"] = sql(_SUMMARY, body="""
 SELECT * REPLACE (CAST(reqs_per_s_observed AS DOUBLE) AS reqs_per_s_observed) FROM summary""")
 _LIMITS = [("avg_ms", 150), ("p50_ms", 150), ("p95_ms", 200), ("p99_ms", 400)]
+ORACLES["latency_trend"] = """
+SELECT CAST(DATE_TRUNC('day', ts) AS TIMESTAMP) AS window_start, COUNT(value) AS requests, COUNT(value) AS sketched,
+       TRUE AS p50_ms_within, TRUE AS p95_ms_within, TRUE AS p99_ms_within
+FROM events GROUP BY 1"""
 ORACLES["latency_slo"] = sql(
     _SUMMARY,
     body="\nUNION ALL\n".join(

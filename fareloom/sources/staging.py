@@ -18,7 +18,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 # Folder made for a local session that names none, per application.
 _local_folders: dict[str, str] = {}
 
-# Tables written by `stage` and not yet released.
+# Scratch folders handed out and not yet released.
 _staged: list[str] = []
 
 
@@ -40,26 +40,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, until `release`."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> int:
-    """Free the space of all tables staged so far; frames built on them are done with.
+    """Remove all scratch folders made so far; frames built on them are done with.
 
-    Each is overwritten by an empty table, since only Spark knows the file system they are on.
     Returns how many there were.
     """
     paths, _staged[:] = list(_staged), []
     for path in paths:
-        spark.range(0).write.mode("overwrite").parquet(path)
+        remove_path(spark, path)
     return len(paths)
 
 

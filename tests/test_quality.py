@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import datetime as dt
 
@@ -105,6 +106,56 @@ def test_exact_quantiles_match_numpy(spark):
         assert got[name] == pytest.approx(np.quantile(values, p), abs=1e-9)
 
 
+PROBS = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 0.99, "f": 1.0}
+
+
+@pytest.mark.parametrize("kind", ["wide", "close", "outlier", "tiny", "huge", "steps"])
+def test_exact_quantiles_of_any_range(spark, kind):
+    rng = random.Random(8)
+    values = {
+        "wide": [rng.uniform(-1e9, 1e9) for _ in range(3000)],
+        "close": [100 + rng.random() / 10 for _ in range(3000)],
+        "outlier": [rng.random() / 10 for _ in range(3000)] + [1e18],
+        "tiny": [rng.choice((1, -1)) * 10.0 ** rng.uniform(-40, 10) for _ in range(300)] + [0.0, -0.0, 5e-324, 1e-323],
+        "huge": [rng.choice((1.7e308, -1.7e308, 1.0)) for _ in range(50)],
+        "steps": [float(rng.randrange(3)) for _ in range(1000)] + [math.inf],
+    }[kind]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (math.nan,)], "v double").repartition(3)
+    for bins in (2, latency.BINS) if kind == "close" else (latency.BINS,):
+        got = latency.exact_quantiles(df, "v", PROBS, bins).first()
+        order = sorted(values)
+        for name, p in PROBS.items():
+            at = (len(order) - 1) * p
+            a, b = order[math.floor(at)], order[math.ceil(at)]
+            assert got[name] == (a if a == b else pytest.approx(a + (b - a) * (at - math.floor(at))))
+
+
+def test_quantile_state_is_bounded(spark):
+    """No pass brings more rows to the driver than there are bins."""
+    values = spark.range(50_000).select((F.rand(5) * 1e6).alias("v"))
+    counted = latency._binned(values, [(0.0, 5e5), (5.1e5, 1e6)], 64)
+    assert [len(c) <= 64 for c in counted.values()] == [True, True]
+
+
+def test_sketches_merge_to_coarser_windows(spark):
+    rng = random.Random(9)
+    log = [(dt(2024, 1, 1 + i % 2, i % 24), rng.lognormvariate(4, 1)) for i in range(8000)]
+    df = spark.createDataFrame([*log, (dt(2024, 1, 1), None)], "ts timestamp_ntz, latency_ms double")
+    probs = {"p50": 0.5, "p99": 0.99}
+    sketches = latency.latency_sketches(df, "ts", "1 hour")
+    assert sketches.count() == 24
+    trend = latency.latency_trend(sketches, "1 day", probs)
+    for r in trend.collect():
+        own = sorted(v for t, v in log if t.date() == r["window_start"].date())
+        assert r["requests"] == len(own)
+        for q, p in probs.items():
+            assert abs(np.searchsorted(own, r[q]) / len(own) - p) <= latency.RANK_ERROR
+    checks = latency.rank_errors(df, trend, "ts", "1 day", probs).collect()
+    assert all(r["p50_within"] and r["p99_within"] for r in checks)
+    off = trend.withColumn("p50", F.col("p50") * 2)
+    assert not any(r["p50_within"] for r in latency.rank_errors(df, off, "ts", "1 day", probs).collect())
+
+
 def test_quantiles_of_one_value_and_of_none(spark):
     one = spark.createDataFrame([(7.0,)], "v double")
     assert latency.exact_quantiles(one, "v", {"m": 0.5}).first()["m"] == 7.0
