@@ -13,9 +13,9 @@ of 4 with a chance of 7e-10 (at 0.85: 6e-13).
    counted: they cannot be part of an overlap. A class with too many of them links with none.
 4. The rest meets other pivots in further rounds, and after those only pairs from different
    components are left to look at.
-5. Before a pair is compared, exact bounds drop it: the sizes less the shingles of one class alone,
-   and parity words (the parity of shingles per hash bit differs in at most as many bits as two sets
-   differ in elements).
+5. Before a pair is compared, exact bounds drop it: the sizes, and parity words (the parity of
+   shingles per hash bit differs in at most as many bits as two sets differ in elements). From step
+   4 on both are taken without the shingles of one class alone, which no overlap can use.
 6. The pairs left are confirmed on the full sets, made again from the texts.
 
 Pivots come from aggregates combined before the shuffle and go back by a join, which splits a hot
@@ -136,7 +136,7 @@ def _possible(percent: int) -> Column:
     """What the sizes, the shingles others have too (m) and the parity words ask of a pair."""
     need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
     differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SKETCH)
-    return F.expr(f"least(m_a, m_b) >= {need} and {differ} <= n_a + n_b - 2 * {need}")
+    return F.expr(f"least(m_a, m_b) >= {need} and {differ} <= m_a + m_b - 2 * {need}")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -177,7 +177,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _alone(texts: DataFrame, words: int) -> DataFrame:
-    """class, alone: how many of its shingles no other class of `texts` has (classes with any)."""
+    """class, alone, x0..x3: how many of its shingles no other class of `texts` has, and their parity.
+
+    Classes without such a shingle have no row.
+    """
 
     def run(batches):
         import numpy as np
@@ -192,7 +195,16 @@ def _alone(texts: DataFrame, words: int) -> DataFrame:
 
     held = texts.select("class", "text").mapInArrow(run, "shingle bigint, class bigint")
     single = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("class")).filter("c = 1")
-    return single.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
+    # The bit of a shingle, where `parity` has it.
+    bit = "cast(shiftrightunsigned(shingle, 20) & 255 as int)"
+    single = single.withColumn("bit", F.expr(bit)).withColumn(
+        "mask", F.expr("shiftleft(1L, 8 * cast(bit div 8 % 8 as int) + 7 - bit % 8)")
+    )
+    odd = [
+        F.bit_xor(F.when(F.expr(f"bit div 64 = {k}"), F.col("mask")).otherwise(F.lit(0).cast("long"))).alias(f"x{k}")
+        for k in range(len(SKETCH))
+    ]
+    return single.groupBy("class").agg(F.count(F.lit(1)).alias("alone"), *odd)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -258,8 +270,13 @@ def near_duplicates(
     members = stage(members.join(_mixed(members, "component", F.min("class")).select("key"), "key"), "members")
     rest = classes.join(members.select("class").distinct(), "class", "left_semi")
     own = _texts_of(texts, rest.select("class", "first_id"), words)
-    rest = rest.join(_alone(own, words), "class", "left").withColumn("m", F.col("n") - F.coalesce("alone", F.lit(0)))
-    rest = stage(rest.filter(f"100 * m >= {percent} * n").drop("alone"), "rest")
+    rest = rest.join(_alone(own, words), "class", "left").select(
+        "class",
+        "n",
+        (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"),
+        *[F.col(s).bitwiseXOR(F.coalesce(f"x{k}", F.lit(0).cast("long"))).alias(s) for k, s in enumerate(SKETCH)],
+    )
+    rest = stage(rest.filter(f"100 * m >= {percent} * n"), "rest")
     members = members.join(rest.select("class"), "class")
     for k in range(1, pivot_rounds + 1):
         # Another pivot for what is still apart: the least in another order in each round.

@@ -236,6 +236,19 @@ def test_near_duplicates_in_loose_groups(spark):
     assert 1 < len({r[2] for r in want}) < 120
 
 
+def test_shingles_of_one_class_alone(spark):
+    texts = {1: "a b c d e f", 2: "a b c d e g", 3: "x y z w"}
+    rows = [(k, t.encode()) for k, t in texts.items()]
+    make = set_maker(4)
+    sets = {k: make(t) for k, t in rows}
+    got = {r["class"]: r for r in minhash._alone(spark.createDataFrame(rows, "class bigint, text binary"), 4).collect()}
+    for k, own in sets.items():
+        others = np.concatenate([s for j, s in sets.items() if j != k])
+        alone = own[~np.isin(own, others)]
+        assert got[k]["alone"] == len(alone)
+        assert [got[k][f"x{i}"] for i in range(4)] == minhash.parity(alone).tolist()
+
+
 def test_circulant_signatures_estimate_likeness():
     """Agreement of coordinates is an unbiased estimate of the likeness, from two permutations."""
     rnd = np.random.default_rng(3)
