@@ -4,7 +4,7 @@ A signature needs many permutations of the shingles' universe, here only two: th
 places a shingle on a circle of 2^32 places; the second, pi, is shifted round the circle by k for
 coordinate k, which is the smallest pi(sigma(shingle) + k) of a set. Rows of ROWS coordinates are
 bands; sets that agree in a band share a bucket. A pair at the bound of 0.8 shares none of 40 bands
-of 4 with a chance of 7e-10 (at 0.85: 6e-13).
+of 4 with a chance of 7e-10 (at 0.85: 1.5e-13).
 
 1. Documents with the same set are one class, by a 64-bit hash of the set; copies never meet.
 2. A bucket's classes are held against its pivot, the smallest class. A group of near copies has
