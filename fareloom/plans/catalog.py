@@ -16,7 +16,7 @@ from fareloom.functions import metrics as M
 from fareloom.functions import timefn as tf
 from fareloom.functions.predicates import all_positive, filter_by_ts, positive_if_present
 from fareloom.functions.projections import numeric_frame
-from fareloom.operators import compare, knn, latency, models, quality, split, validity
+from fareloom.operators import compare, drift, knn, latency, models, quality, split, validity
 from fareloom.operators.asof import FeatureLookup, asof_lookup, latest_per_key
 from fareloom.operators.time_features import (
     dropoff_trip_count,
@@ -561,6 +561,17 @@ def column_profile(spark, d):
     return rounded(_flat_window(df), "avg", "stddev")
 
 
+@query
+def feature_drift(spark, d):
+    """Every day's distributions against the first week's."""
+    t, columns = _trips(spark, d), ("trip_distance", "fare_amount")
+    first = t.agg(F.min(F.date_trunc("day", PICKUP))).first()[0]
+    week = F.col(PICKUP) < F.lit(first).cast("timestamp_ntz") + F.expr("INTERVAL 7 DAYS")
+    counts = stage(drift.histograms(t, PICKUP, drift.limits(t.filter(week), columns)), "histograms")
+    base = counts.filter(F.col("window_start") < F.lit(first).cast("timestamp_ntz") + F.expr("INTERVAL 7 DAYS"))
+    return rounded(drift.drift(counts, base), "psi", "ks")
+
+
 def _profile(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_profile(_predictions(spark, d))
 

@@ -507,6 +507,32 @@ FROM trips GROUP BY 1"""
 ORACLES["column_profile"] = over_trips(
     _column("trip_distance") + "\nUNION ALL\n" + _column("fare_amount")
 )
+ORACLES["feature_drift"] = sql(
+    TRIPS,
+    """
+long AS (
+  SELECT CAST(DATE_TRUNC('day', tpep_pickup_datetime) AS TIMESTAMP) AS w,
+         UNNEST(['trip_distance', 'fare_amount']) AS c, UNNEST([trip_distance, fare_amount]) AS v
+  FROM trips),
+week AS (SELECT MIN(w) + INTERVAL 7 DAY AS until FROM long),
+ends AS (SELECT c, MIN(v) AS lo, MAX(v) AS hi FROM long, week WHERE w < until GROUP BY c),
+binned AS (
+  SELECT w, c, CASE WHEN v IS NULL THEN -1
+                    ELSE LEAST(GREATEST(FLOOR((v - lo) / (hi - lo) * 20), 0), 19) END AS b, COUNT(*) AS n
+  FROM long JOIN ends USING (c) GROUP BY ALL),
+grid AS (
+  SELECT w, c, b, COALESCE(n, 0) AS n,
+         COALESCE((SELECT SUM(n) FROM binned x, week WHERE x.c = k.c AND x.b = k.b AND x.w < until), 0) AS m
+  FROM (SELECT DISTINCT w, c, UNNEST(RANGE(-1, 20)) AS b FROM binned) k LEFT JOIN binned USING (w, c, b)),
+shares AS (
+  SELECT w, c, n, (n + 0.5) / (SUM(n) OVER o + 10.5) AS p, (m + 0.5) / (SUM(m) OVER o + 10.5) AS q,
+         ABS(SUM(n) OVER u / SUM(n) OVER o - SUM(m) OVER u / SUM(m) OVER o) AS gap
+  FROM grid WINDOW o AS (PARTITION BY w, c), u AS (PARTITION BY w, c ORDER BY b))""",
+    body="""
+SELECT w AS window_start, c AS column_name, CAST(SUM(n) AS BIGINT) AS n,
+       ROUND(SUM((p - q) * LN(p / q)) + 1e-9, 6) AS psi, ROUND(MAX(gap) + 1e-9, 6) AS ks
+FROM shares GROUP BY 1, 2""",
+)
 _RMSE = f"SQRT(AVG({_E} * {_E}))"
 ORACLES["recent_windows"] = sql(
     TRIPS,
