@@ -159,28 +159,33 @@ def fit_quality(
 
 
 def score_quality(
-    docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: QualityModel,
+    text_col: str = "text",
+    score: str = "score",
+    predicted: str = "predicted",
 ) -> DataFrame:
-    """The frame's columns plus score (0 to 1, higher is better) and predicted (1 if score >= 0.5).
+    """The frame's columns plus `score` (0 to 1, higher is better) and `predicted` (1 if score >= 0.5).
 
     Only the text is read by the score. A null or empty text has no evidence: it scores as the
     curve says at zero. Repeated rows score alike; an empty table stays empty. Columns of the frame
     named like an output are replaced. One pass, no shuffle.
     """
-    own = docs.drop("score", "predicted")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    own = docs.drop(score, predicted)
+    # A plain tuple: workers need not have this package to read it.
+    shared = docs.sparkSession.sparkContext.broadcast((model.good, model.bad, model.slope, model.intercept))
     schema = StructType(
-        [*own.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]
+        [*own.schema.fields, StructField(score, DoubleType()), StructField(predicted, IntegerType())]
     )
     where = own.columns.index(text_col)
 
     def run(batches):
-        m = shared.value
-        evidence = evidence_of(m.good, m.bad)
+        good, bad, slope, intercept = shared.value
+        evidence = evidence_of(good, bad)
         for batch in batches:
             scores = []
             for text in batch.column(where).to_pylist():
-                z = m.slope * evidence((text or "").encode()) + m.intercept
+                z = slope * evidence((text or "").encode()) + intercept
                 scores.append(1 / (1 + math.exp(-max(-700.0, min(700.0, z)))))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -203,6 +208,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject, with their own columns."""
-    scored = score_quality(docs.withColumns({"_text": F.col("text")}), fit_quality(docs, labels), text_col="_text")
-    return scored.filter("predicted = 1").select(*docs.columns)
+    """The documents that the classifier does not reject, all their columns as they were."""
+    score, predicted = "score", "predicted"
+    while {score, predicted} & set(docs.columns):
+        score, predicted = f"_{score}", f"_{predicted}"
+    scored = score_quality(docs, fit_quality(docs, labels), score=score, predicted=predicted)
+    return scored.filter(f"`{predicted}` = 1").drop(score, predicted)
