@@ -104,7 +104,7 @@ def _classify(texts: DataFrame, words: int) -> DataFrame:
     """doc_id, class, n and parity of each row; and each task's n-gram counts (bucket in class, count in n)."""
     schema = StructType(
         [
-            texts.schema["doc_id"],
+            StructField("doc_id", texts.schema["doc_id"].dataType),
             StructField("class", LongType()),
             StructField("n", LongType()),
             *(StructField(s, LongType()) for s in SKETCH),
@@ -371,11 +371,30 @@ def jaccard_components(
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """`docs` with one document of each component: the one with the smallest id, once.
+    """`docs` with one document of each component: the one with the smallest id, rows without one last.
 
-    Rows without an id that reach no id stay as they are: nothing tells them apart.
+    Rows are told apart by id and text, so different texts under one id are judged each by itself,
+    and a copy without an id gives way to one with an id. A row repeated with its id and text stays
+    once; rows with neither an id nor a word all stay. Columns of any other name are left alone.
     """
-    found = jaccard_components(docs.select("doc_id", "text"), words, percent)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    # Two independent 64-bit hashes of the text beside the id: only rows of one id could collide.
+    text = F.coalesce(F.col("text"), F.lit(""))
+    key = F.struct(
+        F.col("doc_id").isNull().alias("no_id"),
+        F.col("doc_id").cast("bigint").alias("id"),
+        F.xxhash64(text).alias("hash"),
+        F.xxhash64(F.lit(1), text).alias("other"),
+    )
+    found = jaccard_components(docs.select(key.alias("doc_id"), "text"), words, percent)
+    kept = found.filter("doc_id = component_id").select("doc_id.*").distinct()
+    kept = stage(kept.withColumn("id", F.coalesce("id", F.lit(0))), "kept")
+    # One column beside the user's own, whatever their names.
+    own = "_key"
+    while own in docs.columns:
+        own += "_"
+    row = F.struct(key["no_id"].alias("no_id"), F.coalesce(key["id"], F.lit(0)).alias("id"), key["hash"].alias("hash"), key["other"].alias("other"))
+    wanted = kept.select(F.struct(*kept.columns).alias("_wanted"))
+    nameless = F.col("doc_id").isNull() & ~text.rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.filter(~nameless).withColumn(own, row)
+    named = keyed.join(wanted, keyed[own] == wanted["_wanted"], "left_semi").dropDuplicates([own])
+    return named.drop(own).unionByName(docs.filter(nameless))

@@ -39,12 +39,20 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every host suffix at a label boundary with every path prefix of the given lengths."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), ".")
-    )
+def _labels(host: Column) -> Column:
+    return F.split(host, r"\.")
+
+
+def _keys(host: Column, path: Column, lengths: list[int], most_labels: int, longest: int) -> Column:
+    """Host suffixes at a label boundary that a rule could have, with path prefixes of the given lengths.
+
+    No rule's host has more than `most_labels` labels or `longest` characters, so a url has at most
+    that many suffixes, whatever the length of its own host.
+    """
+    ends = F.slice(_labels(host), F.greatest(F.lit(-most_labels), -F.size(_labels(host))), F.lit(most_labels))
+    ends = F.transform(ends, lambda label: F.substring(label, F.lit(1), F.lit(longest + 1)))
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(ends)), lambda k: F.array_join(F.slice(ends, k, F.size(ends)), "."))
+    suffixes = F.filter(suffixes, lambda s: F.length(s) <= longest)
     prefixes = F.array_distinct(
         F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n))
     )
@@ -138,7 +146,8 @@ def judge_urls(
     starts with the rule's. The longest rule string wins (of equal length, the longer host). Without
     a rule the verdict is `default`, the rule null. A null url or one without :// has empty host and
     path. Null ids and repeated rows are kept as they are; an empty table gives an empty result, and
-    empty rules give `default`. Of a rule given twice with different verdicts, block counts.
+    empty rules give `default`. Of a rule given twice with different verdicts, block counts. A url may
+    be of any length: the work on it grows with its length times the labels of the longest rule.
     """
     listed = rules.select(F.concat("host", "path").alias("key"), "host", "path", "verdict")
     listed = listed.filter("key is not null").groupBy("key").agg(
@@ -146,10 +155,12 @@ def judge_urls(
     )
     # The lengths rule paths have: at most as many as a url is long.
     lengths = [r[0] for r in rules.filter("path is not null").select(F.length("path")).distinct().collect()]
+    size = rules.filter("host is not null and path is not null").agg(F.max(F.size(_labels(F.col("host")))), F.max(F.length("host"))).first()
+    most_labels, longest = size[0] or 1, size[1] or 0
     blocks = build_filter(listed, most_filter_bytes)
     url = F.col(url_col)
     urls = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    urls = urls.withColumn("keys", _keys(F.col("host"), F.col("path"), lengths))
+    urls = urls.withColumn("keys", _keys(F.col("host"), F.col("path"), lengths, most_labels, longest))
     hits = possible_hits(urls, blocks)
     # Each different host and path is judged once; rows fetch the verdict by an equi join.
     asked = hits.filter(F.size("keys") > 0)

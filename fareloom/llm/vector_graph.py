@@ -26,11 +26,57 @@ EXPAND = 4  # nodes expanded per step
 BATCH = 128
 QUERY_BLOCK = 2048
 PASSES = (1.0, ALPHA)
+# A shard is laid around its middle, with typical components near 1, before it is searched. In single
+# precision up to these components (of a node; of a query), beyond them in double.
+MOST_SINGLE = 1e6
+FAR_QUERY = 1e3
+MOST_DOUBLE = 1e150  # squares must be finite
 
 
 # --- one shard, in numpy ---------------------------------------------------------------------
 
 
+def frame_of(vectors):
+    """(centre, scale) of a shard, from medians: outliers do not move them."""
+    import numpy as np
+
+    quarter = vectors * 0.25  # the difference of any two is finite
+    centre = np.partition(quarter, len(quarter) // 2, axis=0)[len(quarter) // 2]
+    reach = np.abs(quarter - centre).max(1)
+    reach = reach[reach > 0]
+    scale = np.partition(reach, len(reach) // 2)[len(reach) // 2] if len(reach) else 1.0
+    return centre, scale
+
+
+def placed(vectors, frame):
+    """Vectors in the frame of a shard, in double precision."""
+    import numpy as np
+
+    with np.errstate(over="ignore"):
+        return np.clip((vectors * 0.25 - frame[0]) / frame[1], -MOST_DOUBLE, MOST_DOUBLE)
+
+
+def single(x):
+    """In single precision, unless components are too large for it."""
+    import numpy as np
+
+    return x.astype(np.float32) if np.abs(x).max() <= MOST_SINGLE else x
+
+
+def distances(vectors, query):
+    """Euclidean distances; scaled where squares overflow."""
+    import numpy as np
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = np.sqrt(((vectors - query) ** 2).sum(1))
+        wide = ~np.isfinite(out)
+        if wide.any():
+            apart = vectors[wide] * 0.25 - query * 0.25
+            most = np.abs(apart).max(1)
+            out[wide] = most * np.sqrt(((apart / most[:, None]) ** 2).sum(1)) * 4
+    return out
+
+
 def beam_search(x, graph, entry: int, queries, beam: int):
     """(ids, squared distances) of the `beam` best nodes met, for a batch of queries; -1 pads."""
     import numpy as np
@@ -39,7 +85,7 @@ def beam_search(x, graph, entry: int, queries, beam: int):
     seen = np.zeros((b, n + 1), bool)
     seen[:, n] = True  # the padding node
     ids = np.full((b, beam), n, np.int64)
-    dist = np.full((b, beam), np.inf, np.float32)
+    dist = np.full((b, beam), np.inf, queries.dtype)
     open_ = np.zeros((b, beam), bool)
     ids[:, 0], open_[:, 0], seen[:, entry] = entry, True, True
     dist[:, 0] = ((x[entry] - queries) ** 2).sum(1)
@@ -83,10 +129,9 @@ def robust_prune(x, nodes, candidates, alpha: float, degree: int):
     bad = (cand < 0) | (cand == nodes[:, None])
     bad[:, 1:] |= cand[:, 1:] == cand[:, :-1]
     safe = np.maximum(cand, 0)
-    v = x[safe]
-    to_node = ((v - x[nodes][:, None, :]) ** 2).sum(2)
-    norm = (v**2).sum(2)
-    between = norm[:, :, None] + norm[:, None, :] - 2 * np.matmul(v, v.transpose(0, 2, 1))
+    v = x[safe] - x[nodes][:, None, :]  # around the node, so that near candidates do not cancel
+    to_node = (v**2).sum(2)
+    between = to_node[:, :, None] + to_node[:, None, :] - 2 * np.matmul(v, v.transpose(0, 2, 1))
     alive = np.where(bad, np.inf, to_node)
     out = np.full((b, degree), -1, np.int64)
     rows = np.arange(b)
@@ -144,14 +189,20 @@ def search_shard(vectors, graph, entry: int, ids: list[list[int]], query_ids, qu
     """(row of the query, vec_id, distance) of the k best ids of each query, itself left out."""
     import numpy as np
 
-    x = vectors.astype(np.float32)
-    out = []
+    frame, width = frame_of(vectors), max(beam, k + 1)
+    x = placed(vectors, frame)
+    near_x, out = single(x), []
     for at in range(0, len(queries), BATCH):
         q = queries[at : at + BATCH]
-        met, _ = beam_search(x, graph, entry, q.astype(np.float32), max(beam, k + 1))
+        own_place = placed(q, frame)
+        far = np.abs(own_place).max(1) > FAR_QUERY
+        met = np.empty((len(q), width), np.int64)
+        for some, space in ((~far, near_x), (far, x)):
+            if some.any():
+                met[some], _ = beam_search(space, graph, entry, own_place[some].astype(space.dtype), width)
         for i, row in enumerate(met):
             nodes = row[row >= 0]
-            exact = np.sqrt(((vectors[nodes] - q[i]) ** 2).sum(1))
+            exact = distances(vectors[nodes], q[i])
             own = int(query_ids[at + i])
             # A little more than k nodes: the query's own may be among them.
             near = np.argsort(exact, kind="stable")[: k + 1]
@@ -202,7 +253,7 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFra
         order = np.lexsort(vectors.T[:3])  # the same graph whatever the order rows arrive in
         vectors = vectors[order]
         ids = table.column("ids").take(pa.array(order)).to_pylist()
-        graph, entry = build_graph(vectors.astype(np.float32))
+        graph, entry = build_graph(single(placed(vectors, frame_of(vectors))))
         return pa.table(
             {
                 "dim": pa.array([dim], pa.int32()),
@@ -288,7 +339,8 @@ def nearest(
     with a null id, or a vector that is null, zero or holds null or non-finite components, take no
     part. Vectors meet only those of their own length. Rows repeated with their id count once; an
     id with several vectors is asked, and may be found, with each. With fewer than k others all are
-    returned; an empty table gives an empty result.
+    returned; an empty table gives an empty result. Vectors may lie anywhere and have any finite
+    components: the graphs are built and searched around each shard's middle.
     """
     rows = usable(vectors, id_col, vector_col)
     nodes = stage(nodes_of(rows, k), "nodes")

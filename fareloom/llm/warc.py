@@ -28,7 +28,6 @@ FILE_BYTES = 1 << 30
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
 MAGIC = b"\x1f\x8b\x08"
-MOST_HEADER = 1 << 20
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -162,13 +161,19 @@ class Member:
 
 
 def _until_blank_line(member: Member, got: bytes) -> tuple[bytes, bytes] | None:
-    while b"\r\n\r\n" not in got:
-        part = member.more()
-        if not part or len(got) > MOST_HEADER:
-            return None
-        got += part
-    head, _, rest = got.partition(b"\r\n\r\n")
-    return head, rest
+    """What comes before the first blank line, however long, and what was read beyond it."""
+    parts, last = [], b""
+    while got:
+        # The blank line may begin in the part before.
+        seam = last + got
+        cut = seam.find(b"\r\n\r\n")
+        if cut >= 0:
+            parts.append(seam[:cut])
+            return b"".join(parts), seam[cut + 4 :]
+        parts.append(seam[:-3])
+        last = seam[-3:]
+        got = member.more()
+    return None
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -189,13 +194,16 @@ def read_member(stream, start: int, size: int, with_payload: bool):
     member = Member(stream, start, size)
     try:
         begin = member.more()
-        if not begin.startswith(b"WARC/1."):
-            return None
-        split = _until_blank_line(member, begin)
     except zlib.error:
         return None
-    if split is None:
+    if not begin.startswith(b"WARC/1."):
         return None
+    try:
+        split = _until_blank_line(member, begin)
+    except zlib.error as e:
+        raise ValueError(f"record at byte {start}: header cannot be decoded") from e
+    if split is None:
+        raise ValueError(f"record at byte {start}: no end of its header")
     fields, rest = _fields(split[0]), split[1]
     left = int(fields["content-length"])
     split = _until_blank_line(member, rest) if fields.get("content-type", "").startswith("application/http") else (b"", rest)
@@ -295,8 +303,13 @@ def archive_round_trip(pages: DataFrame, least_bytes: int = 0, split_bytes: int
 
     A null html is an empty payload; a null url leaves out the target; rows without a page_id come
     back without one. Of rows repeated with their page_id, all that have the smallest are responses.
-    An empty table writes no archive and gives an empty result.
+    An empty table writes no archive and gives an empty result. Urls and texts may be of any length.
+    Fewer or more records read than were written are an error.
     """
     folder = scratch_path(pages.sparkSession, "warc")
     files = stage(write_warc(with_first(pages, least_bytes), folder), "archives")
-    return read_warc(files, folder, split_bytes)
+    records = stage(read_warc(files, folder, split_bytes), "records")
+    written, read = files.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], records.count()
+    if written != read:
+        raise ValueError(f"{written} records written, {read} read")
+    return records
