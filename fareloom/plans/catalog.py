@@ -31,6 +31,7 @@ from fareloom.plans import billing, features, medallion, training
 from fareloom.sources import readers, tables, views
 from fareloom.sources.staging import scratch_path, stage
 from fareloom.streaming import layers
+from fareloom.streaming.snapshot import Snapshot
 from fareloom.streaming.window_features import SLIDING, TUMBLING, FeatureStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +146,17 @@ def feature_job_tumbling(spark, d):
     return _three_runs(spark, d, "dropoff_features", DROPOFF)
 
 
+@query
+def feature_job_late(spark, d):
+    """Trips that arrive up to ten days after their pickup, taken in by three runs."""
+    delay = F.make_interval(hours=F.pmod(F.xxhash64("trip_id"), F.lit(240)).cast("int"))
+    t = _trips(spark, d).withColumn("ingested", F.col(PICKUP) + delay)
+    path = scratch_path(spark, "late")
+    for until in ("2024-01-12 07:10:00", "2024-01-20 18:37:30", "2100-01-01"):
+        table = features.catch_up(t, "pickup_features", path, PICKUP, "ingested", until)
+    return table.read(spark)
+
+
 @query
 def create_feature_table(spark, d):
     """A new table partitioned by month, its key checked."""
@@ -361,6 +373,16 @@ def stream_tumbling(spark, d):
     return features.run(_shuffled_trip_stream(spark, d))
 
 
+@query
+def stream_snapshot(spark, d):
+    """The newest window per ZIP, from changes that come in any order, a few files per batch."""
+    changes = sliding_features(_trips(spark, d), PICKUP)
+    path = scratch_path(spark, "changes")
+    changes.repartition(6, F.xxhash64("zip", PICKUP)).write.parquet(path)
+    stream = readers.stream_path(spark, path, changes.schema, max_files_per_trigger=2)
+    return Snapshot(spark, scratch_path(spark, "snapshot"), ["zip"], PICKUP, buckets=8).run(stream)
+
+
 # --- features and training sets -------------------------------------------------------------
 
 

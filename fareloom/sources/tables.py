@@ -7,11 +7,12 @@ the timestamp key. One writer at a time.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fareloom.sources.staging import scratch_path
 
@@ -36,12 +37,16 @@ class FeatureTable:
     path: str
     keys: tuple[str, ...]
     ts_key: str
+    # Columns to give while the table has no rows, and so no file that tells them.
+    schema: StructType | None = field(default=None, compare=False)
 
     @property
     def primary_key(self) -> list[str]:
         return [*self.keys, self.ts_key]
 
     def read(self, spark: SparkSession) -> DataFrame:
+        if self.schema is not None and not feature_table_exists(spark, self.path):
+            return spark.createDataFrame([], self.schema)
         df = spark.read.parquet(self.path)
         return df.withColumn(PARTITION, F.col(PARTITION).cast("string"))
 
@@ -90,7 +95,7 @@ def _write_months(df: DataFrame, path: str, mode: str) -> None:
 
 def create_feature_table(path: str, keys: str, ts_key: str, df: DataFrame) -> FeatureTable:
     """Create and fill the table. A table with the same columns is left alone."""
-    table = FeatureTable(path, tuple(k for k in parse_keys(keys) if k != ts_key), ts_key)
+    table = FeatureTable(path, tuple(k for k in parse_keys(keys) if k != ts_key), ts_key, df.schema)
     missing = [c for c in (*table.primary_key, PARTITION) if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}")
@@ -101,7 +106,8 @@ def create_feature_table(path: str, keys: str, ts_key: str, df: DataFrame) -> Fe
         return table
     assert_month(df)
     assert_unique(df, table.primary_key)
-    _write_months(df, path, "errorifexists")
+    # A folder that holds no rows yet is filled.
+    _write_months(df, path, "append")
     return table
 
 

@@ -55,15 +55,18 @@ TUMBLING = WindowFeature(tumbling_panes, tumbling_from_panes, ("trips",), 0)
 class DayTable:
     """A parquet folder by day and version; a day is read in its newest version."""
 
+    part = "day"
+    value = staticmethod(date.fromisoformat)
+
     def __init__(self, spark: SparkSession, path: str, schema: StructType | None = None):
         self.spark, self.path, self.schema = spark, path, schema
 
     def versions(self) -> dict[date, list[int]]:
         """Versions of each day, in order, from the folders' names."""
         found: dict[date, list[int]] = {}
-        for path in list_paths(self.spark, f"{self.path}/day=*/version=*"):
+        for path in list_paths(self.spark, f"{self.path}/{self.part}=*/version=*"):
             day, version = (part.split("=")[1] for part in path.rsplit("/", 2)[1:])
-            found.setdefault(date.fromisoformat(day), []).append(int(version))
+            found.setdefault(self.value(day), []).append(int(version))
         return {day: sorted(own) for day, own in found.items()}
 
     def read(self, days: Iterable[date] | None = None, below: int | None = None) -> DataFrame | None:
@@ -74,7 +77,7 @@ class DayTable:
             for day, own in found.items()
             if days is None or day in days
         }
-        paths = [f"{self.path}/day={day}/version={v[0]}" for day, v in newest.items() if v]
+        paths = [f"{self.path}/{self.part}={day}/version={v[0]}" for day, v in newest.items() if v]
         if not paths:
             return None
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
@@ -84,10 +87,10 @@ class DayTable:
         """`rows` (with column `day`) as that version of their days; written again, it is replaced."""
         (
             rows.withColumn("version", F.lit(version))
-            .hint("rebalance", F.col("day"))
+            .hint("rebalance", F.col(self.part))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "version")
+            .partitionBy(self.part, "version")
             .parquet(self.path)
         )
 
@@ -95,7 +98,7 @@ class DayTable:
         for day, own in self.versions().items():
             if day in days:
                 for version in own[:-KEPT_VERSIONS]:
-                    remove_path(self.spark, f"{self.path}/day={day}/version={version}")
+                    remove_path(self.spark, f"{self.path}/{self.part}={day}/version={version}")
 
 
 class FeatureStream:
