@@ -1,23 +1,26 @@
-"""Fitting, tuning and scoring with `pyspark.ml`."""
+"""Fitting, tuning and scoring with `pyspark.ml`, boosted trees and k-nearest rows."""
 
 from __future__ import annotations
 
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fareloom.functions.projections import with_model_stamp
+from fareloom.operators import boosting, knn
 from fareloom.operators.asof import FeatureLookup, create_training_set
+from fareloom.sources.staging import stage
 
 FEATURES = (
     "trip_distance",
@@ -98,18 +101,92 @@ def register_model(name: str, factory: Callable[..., Estimator]) -> None:
     MODELS[name] = factory
 
 
-def with_assembler(estimator: Estimator, features: Sequence[str]) -> Pipeline:
-    """A missing feature becomes the training rows' median: fits and scoring keep every row."""
-    filled = [f"_filled_{f}" for f in features]
-    imputer = Imputer(inputCols=list(features), outputCols=filled, strategy="median")
-    assembler = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[imputer, assembler, estimator])
+@dataclass(frozen=True)
+class NearestModel:
+    """The training rows themselves, and the medians that stand for missing features."""
 
+    rows: DataFrame
+    features: tuple[str, ...]
+    medians: tuple[float, ...]
+    k: int
 
-def fit(name: str, train: DataFrame, features: Sequence[str], label: str = LABEL, **params) -> Model:
+    def transform(self, df: DataFrame) -> DataFrame:
+        names = [f"_near{i}" for i in range(len(self.features))]
+        asked = df.withColumns(
+            {n: _filled(f, m) for n, f, m in zip(names, self.features, self.medians)}
+        )
+        return knn.knn_regress(self.rows, asked, names, "_label", "_row", self.k).drop(*names)
+
+
+def _filled(feature: str, value: float) -> Column:
+    return F.nanvl(F.coalesce(F.col(f"`{feature}`").try_cast("double"), F.lit(value)), F.lit(value))
+
+
+def nearest(
+    train: DataFrame, features: Sequence[str], label: str = LABEL, k: int = 10
+) -> NearestModel:
+    """k nearest rows by Euclidean distance. A missing feature becomes the training median."""
+    found = train.select(
+        *[F.col(f"`{f}`").try_cast("double").alias(f"f{i}") for i, f in enumerate(features)]
+    ).approxQuantile([f"f{i}" for i in range(len(features))], [0.5], 0.001)
+    medians = tuple(q[0] if q else 0.0 for q in found)
+    rows = train.select(
+        F.col(label).cast("double").alias("_label"),
+        F.monotonically_increasing_id().alias("_row"),
+        *[_filled(f, m).alias(f"_near{i}") for i, (f, m) in enumerate(zip(features, medians))],
+    )
+    return NearestModel(stage(rows, "nearest-rows"), tuple(features), medians, k)
+
+
+def _boosted(train: DataFrame, features: Sequence[str], label: str, **params):
+    return boosting.fit_boosted(train, features, label, **params)
+
+
+# Models beside the estimators: fitted by a function, scored by `transform`.
+FITS: dict[str, Callable] = {"boosted": _boosted, "k_nearest": nearest}
+
+
+def with_assembler(
+    estimator: Estimator, features: Sequence[str], empty: Sequence[str] = (), gaps: Sequence[str] = ()
+) -> Pipeline:
+    """A missing feature becomes the training rows' median: fits and scoring keep every row.
+
+    Text is read as a number, and missing if it is none. Features in `empty` had no value at all and
+    count as 0 when missing; those in `gaps` were missing at times and get a flag beside them.
+    """
+    numbers, filled, flags = [], [], []
+    for i, f in enumerate(features):
+        name = "`" + f.replace("`", "``") + "`"
+        value = f"nullif(try_cast({name} AS double), double('NaN'))"
+        numbers.append(f"{f'coalesce({value}, 0D)' if f in empty else value} AS _number_{i}")
+        filled.append(f"_filled_{i}")
+        if f in gaps:
+            numbers.append(f"CASE WHEN {value} IS NULL THEN 1D ELSE 0D END AS _missing_{i}")
+            flags.append(f"_missing_{i}")
+    cast = SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__")
+    inputs = [f"_number_{i}" for i in range(len(features))]
+    imputer = Imputer(inputCols=inputs, outputCols=filled, strategy="median")
+    assembler = VectorAssembler(inputCols=filled + flags, outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[cast, imputer, assembler, estimator])
+
+
+def _present(frame: DataFrame, features: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Features without any value, and those with some missing."""
+    n, *present = frame.agg(
+        F.count(F.lit(1)),
+        *[F.count(F.nullif(F.col(f"`{f}`").try_cast("double"), F.lit(float("nan")))) for f in features],
+    ).first()
+    empty = [f for f, p in zip(features, present) if p == 0]
+    return empty, [f for f, p in zip(features, present) if 0 < p < n]
+
+
+def fit(name: str, train: DataFrame, features: Sequence[str], label: str = LABEL, **params):
     """Fit a registered model on the rows with a label. The data stays in Spark."""
-    frame = train.select(*features, label).dropna(subset=[label])
-    return with_assembler(MODELS[name](label, **params), features).fit(frame)
+    extra = [params["held_out"]] if params.get("held_out") else []
+    frame = train.select(*features, label, *extra).dropna(subset=[label])
+    if name in FITS:
+        return FITS[name](frame, features, label, **params)
+    return with_assembler(MODELS[name](label, **params), features, *_present(frame, features)).fit(frame)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str = LABEL, **params) -> Model:
@@ -128,6 +205,12 @@ def fit_random_forest(
     return fit("random_forest", train, features, label, **params)
 
 
+def fit_boosted(
+    train: DataFrame, features: Sequence[str], label: str = LABEL, **params
+) -> boosting.BoostedTrees:
+    return fit("boosted", train, features, label, **params)
+
+
 def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -155,6 +238,22 @@ def draw_trials(n: int, seed: int) -> list[dict]:
     ]
 
 
+def tune_boosted(
+    train: DataFrame,
+    features: Sequence[str],
+    held_out: str,
+    label: str = LABEL,
+    n: int = 4,
+    rounds: int = 100,
+    seed: int = 42,
+    **search: int,
+) -> tuple[boosting.BoostedTrees, list[dict]]:
+    """Random draws, halved as trees are added, with early stopping on the held-out rows."""
+    frame = train.select(*features, label, held_out)
+    trials = draw_trials(n, seed)
+    return boosting.halving_search(frame, features, label, held_out, trials, rounds=rounds, **search)
+
+
 def tune(
     train: DataFrame,
     features: Sequence[str],
@@ -178,7 +277,7 @@ def tune(
             }
         )
     search = TrainValidationSplit(
-        estimator=with_assembler(estimator, features),
+        estimator=with_assembler(estimator, features, *_present(frame, features)),
         estimatorParamMaps=grid,
         evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
         trainRatio=train_ratio,
@@ -196,13 +295,15 @@ def compare_models(
     features: Sequence[str],
     label: str = LABEL,
     params: Mapping[str, dict] | None = None,
+    families: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Hold-out RMSE of every registered model, best first."""
+    """Hold-out RMSE of every registered estimator, or of the named `families`, best first."""
     params = params or {}
-    train = train.select(*features, label).dropna(subset=[label]).persist()
+    extra = sorted({p["held_out"] for p in params.values() if p.get("held_out")})
+    train = train.select(*features, label, *extra).dropna(subset=[label]).persist()
     try:
         rows = []
-        for name in MODELS:
+        for name in families or MODELS:
             model = fit(name, train, features, label, **params.get(name, {}))
             rows.append((name, holdout_rmse(model, test, label)))
     finally:
@@ -236,7 +337,7 @@ def apply_model(
     df: DataFrame, model: Model | Predict, features: Sequence[str], out: str = "prediction"
 ) -> DataFrame:
     """Add the prediction of a fitted or a user model as column `out`."""
-    if isinstance(model, Model):
+    if hasattr(model, "transform"):
         scored = model.transform(df).withColumnRenamed("prediction", out)
         return scored.select(*df.columns, out)
     return score_frame(df, {out: model}, features)
@@ -260,7 +361,7 @@ def score_ab(
     df: DataFrame, model_a: Model | Predict, model_b: Model | Predict, features: Sequence[str]
 ) -> DataFrame:
     """Both models on every row: `pred_a` and `pred_b`."""
-    if not isinstance(model_a, Model) and not isinstance(model_b, Model):
+    if not hasattr(model_a, "transform") and not hasattr(model_b, "transform"):
         return score_frame(df, {"pred_a": model_a, "pred_b": model_b}, features)
     return apply_model(apply_model(df, model_a, features, "pred_a"), model_b, features, "pred_b")
 

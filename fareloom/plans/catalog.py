@@ -766,6 +766,64 @@ def fit_gbt(spark, d):
     return _held_out(models.fit_gbt(train, models.FEATURES), test)
 
 
+def _with_held_out(train: DataFrame) -> DataFrame:
+    """A fifth of the training rows, by hash, decide when boosting stops."""
+    return train.withColumn("held", F.pmod(F.xxhash64("trip_id", F.lit("stop")), F.lit(5)) == 0)
+
+
+@query
+def fit_boosted(spark, d):
+    train, test = _learning_frames(spark, d)
+    model = models.fit_boosted(_with_held_out(train), models.FEATURES, held_out="held")
+    return _held_out(model, test)
+
+
+@query
+def boosted_stump(spark, d):
+    """One split of all trips, the best of both ZIPs, and the mean fare on its sides."""
+    zips = ("pickup_zip", "dropoff_zip")
+    trips = _trips(spark, d).select("trip_id", *zips, "fare_amount")
+    model = models.fit_boosted(trips, zips, rounds=1, leaves=2, rate=1.0)
+    # Residuals are counted in steps of the labels' range, so the last digits are not compared.
+    return model.transform(trips).select("trip_id", F.round("prediction", 3).alias("prediction"))
+
+
+@query
+def tune_boosted(spark, d):
+    train, _ = _learning_frames(spark, d)
+    _, trials = models.tune_boosted(_with_held_out(train), models.FEATURES, "held")
+    return spark.createDataFrame(
+        trials, "leaves int, rate double, min_child int, grown int, rounds int, rmse double"
+    )
+
+
+@query
+def compare_families(spark, d):
+    """Boosted trees, a line and the k nearest rows on the same hold-out rows."""
+    train, test = _learning_frames(spark, d)
+    return models.compare_models(
+        _with_held_out(train),
+        test,
+        models.FEATURES,
+        params={"boosted": {"held_out": "held"}},
+        families=("boosted", "elastic_net", "k_nearest"),
+    )
+
+
+@query
+def score_gaps(spark, d):
+    """A line fitted and scored on rows with ZIPs as text, gaps, and a feature without values."""
+    train, test = _learning_frames(spark, d)
+
+    def with_gaps(df: DataFrame) -> DataFrame:
+        far = F.when(F.col("trip_id") % 5 != 0, F.col("trip_distance"))
+        zips = {z: F.col(z).cast("string") for z in ("pickup_zip", "dropoff_zip")}
+        return df.withColumns({"trip_distance": far, "tip": F.lit(None).cast("double"), **zips})
+
+    model = models.fit_elastic_net(with_gaps(train), (*models.FEATURES, "tip"))
+    return _held_out(model, with_gaps(test))
+
+
 @query
 def fit_elastic_net(spark, d):
     train, test = _learning_frames(spark, d)

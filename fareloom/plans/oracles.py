@@ -714,3 +714,28 @@ SELECT trip_id,
                        / SUM(CASE WHEN d2 > 0 THEN 1 / SQRT(d2) END) END + 1e-9, 6) AS prediction
 FROM best GROUP BY trip_id""",
 )
+
+
+def _cuts(zip_column: str, rank: int) -> str:
+    """Every split of the trips at a ZIP, with how much of the fares' spread it explains."""
+    return f"""
+  SELECT {rank} AS rank, cut, nl * POWER(sl / nl - whole, 2) + nr * POWER(sr / nr - whole, 2) AS gain
+  FROM (SELECT c.cut, COUNT(*) FILTER (t.{zip_column} <= c.cut) AS nl,
+               COUNT(*) FILTER (t.{zip_column} > c.cut) AS nr,
+               SUM(t.fare_amount) FILTER (t.{zip_column} <= c.cut) AS sl,
+               SUM(t.fare_amount) FILTER (t.{zip_column} > c.cut) AS sr, AVG(t.fare_amount) AS whole
+        FROM trips t CROSS JOIN (SELECT DISTINCT {zip_column} AS cut FROM trips) c GROUP BY c.cut)
+  WHERE nl >= 20 AND nr >= 20"""
+
+
+ORACLES["boosted_stump"] = sql(
+    TRIPS,
+    f"""
+cuts AS ({_cuts("pickup_zip", 0)}
+  UNION ALL {_cuts("dropoff_zip", 1)}),
+best AS (SELECT rank, cut FROM cuts ORDER BY gain DESC, rank, cut LIMIT 1)""",
+    body="""
+SELECT trip_id, ROUND(AVG(fare_amount) OVER (
+         PARTITION BY CASE WHEN rank = 0 THEN pickup_zip ELSE dropoff_zip END <= cut), 3) AS prediction
+FROM trips, best""",
+)

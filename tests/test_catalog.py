@@ -7,8 +7,8 @@ import parity
 from fareloom.plans.catalog import QUERIES
 from fareloom.plans.oracles import ORACLES
 
-SLOW = {"fit_gbt", "fit_random_forest", "tune", "compare_models"}  # run by `tests/parity.py`
-NO_SQL = ["latency_sketch", "bernoulli_sample", "fit_elastic_net", "signature_sample"]
+SLOW = {"fit_gbt", "fit_random_forest", "tune", "compare_models", "fit_boosted", "tune_boosted", "compare_families"}  # run by `tests/parity.py`
+NO_SQL = ["latency_sketch", "bernoulli_sample", "fit_elastic_net", "score_gaps", "signature_sample"]
 
 
 @pytest.fixture(scope="module")

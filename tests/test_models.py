@@ -63,6 +63,39 @@ def test_leaves_to_depth():
     assert [models.depth_for_leaves(n) for n in (2, 16, 31, 32, 33, 128)] == [1, 4, 5, 5, 6, 7]
 
 
+def test_families_beside_the_estimators(linear):
+    train, test = linear
+    held = train.withColumn("held", F.col("id") % 4 == 0)
+    rows = models.compare_models(
+        held, test, X, params={"boosted": {"held_out": "held", "rounds": 8, "rate": 0.5}, "k_nearest": {"k": 3}},
+        families=("k_nearest", "elastic_net", "boosted"),
+    ).collect()
+    assert {r["model"] for r in rows} == {"boosted", "elastic_net", "k_nearest"}
+    assert all(r["rmse"] < 3 for r in rows) and [r["rmse"] for r in rows] == sorted(r["rmse"] for r in rows)
+
+
+def test_every_family_takes_text_gaps_and_empty_features(spark, linear):
+    train, test = linear
+
+    def odd(df):
+        far = F.when(F.col("id") % 3 == 0, F.lit("none")).otherwise(F.col("trip_distance").cast("string"))
+        return df.withColumns({"trip_distance": far, "empty": F.lit(None).cast("double")})
+
+    for name, params in (("elastic_net", {}), ("boosted", {"rounds": 3}), ("k_nearest", {})):
+        model = models.fit(name, odd(train), ("trip_distance", "empty"), **params)
+        out = models.apply_model(odd(test), model, ("trip_distance", "empty"))
+        assert out.columns == [*test.columns, "empty", "prediction"]
+        assert out.where("prediction is null or isnan(prediction)").isEmpty() and out.count() == test.count()
+
+
+def test_a_gap_is_told_apart_from_the_median(spark):
+    # Rows without a distance have a fare of their own.
+    rows = [(None, 50.0)] * 40 + [(float(x % 10), float(x % 10)) for x in range(60)]
+    df = spark.createDataFrame(rows, "trip_distance double, fare_amount double")
+    model = models.fit_elastic_net(df, X, alpha=0.0)
+    assert models.holdout_rmse(model, df) < 0.01
+
+
 def test_scoring_keeps_every_row(linear):
     train, test = linear
     model = models.fit_gbt(train, X, rounds=3)

@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "4").getOrCreate())
-for name in ("score_ab", "knn_regress"):
+for name in ("score_ab", "boosted_stump", "knn_regress"):
     rows = entry.queries()[name](spark, {data!r}).collect()
     print(name, len(rows))
 """
