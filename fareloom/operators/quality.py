@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +32,23 @@ def quality_profile(
     The log is reduced to sums per (window, model, slice values) first. Only those few rows go
     through the grouping sets, which would otherwise copy every prediction once per set.
     """
+    state = profile_state(pred, granularity, model, label, prediction, ts, slices)
+    return profile_of_state(state, granularity, slices, log_type)
+
+
+def profile_state(
+    pred: DataFrame,
+    granularity: str = "1 day",
+    model: str = "model_id",
+    label: str = "label",
+    prediction: str = "prediction",
+    ts: str = "timestamp",
+    slices: Sequence[str] = (),
+) -> DataFrame:
+    """Counts, error sums, and mean and spread of labels per (window, model, slice values).
+
+    States of several parts of a log are merged by `merge_profile_states`.
+    """
     e = F.col(prediction).cast("double") - F.col(label).cast("double")
     y = F.when(F.col(prediction).isNotNull(), F.col(label).cast("double"))
     base = pred.select(
@@ -41,9 +58,9 @@ def quality_profile(
         e.alias("_e"),
         y.alias("_y"),
     )
-    dims = ["window", "_model", *[f"_s{i}" for i in range(len(slices))]]
+    dims = _profile_dims(slices)
     size = F.greatest(F.abs("_y"), F.lit(EPSILON))
-    sums = base.groupBy(*dims).agg(
+    return base.groupBy(*dims).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("_e").alias("n"),
         F.sum(F.abs("_e")).alias("ae"),
@@ -53,6 +70,47 @@ def quality_profile(
         F.avg("_y").alias("my"),
         (F.var_pop("_y") * F.count("_y")).alias("within"),
     )
+
+
+def _profile_dims(slices: Sequence[str]) -> list[str]:
+    return ["window", "_model", *[f"_s{i}" for i in range(len(slices))]]
+
+
+def merge_profile_states(states: DataFrame, slices: Sequence[str] = ()) -> DataFrame:
+    """One row per (window, model, slice values) from those of several parts.
+
+    The spread of a group is that inside its parts and that of the parts' means around the group's,
+    so large labels do not cancel. Parts without a label have no mean and add none.
+    """
+    dims = _profile_dims(slices)
+    group = W.partitionBy(*dims)
+    mean = F.try_divide(F.sum(F.col("n") * F.col("my")).over(group), F.sum("n").over(group))
+    off = F.coalesce(F.col("my") - F.col("_mean"), F.lit(0.0))
+    # The window holds one row per part of a group, not its predictions.
+    return (
+        states.withColumn("_mean", mean)
+        .groupBy(*dims)
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.sum("n").alias("n"),
+            F.sum("ae").alias("ae"),
+            F.sum("se").alias("se"),
+            F.max("me").alias("me"),
+            F.sum("pe").alias("pe"),
+            F.first("_mean").alias("my"),
+            F.sum(F.coalesce("within", F.lit(0.0)) + F.col("n") * off * off).alias("within"),
+        )
+    )
+
+
+def profile_of_state(
+    sums: DataFrame,
+    granularity: str = "1 day",
+    slices: Sequence[str] = (),
+    log_type: str = PRIMARY_LOG,
+) -> DataFrame:
+    """The profile from one state row per (window, model, slice values)."""
+    dims = _profile_dims(slices)
     # Spread around the mean without squares of the labels themselves: inside the finest groups, and
     # of their means around the window's. The window frame is over one row per finest group.
     whole = W.partitionBy("window")
@@ -97,6 +155,38 @@ def quality_profile(
     )
 
 
+def update_profile(
+    batch: DataFrame,
+    path: str,
+    batch_id: int,
+    granularity: str = "1 day",
+    model: str = "model_id",
+    label: str = "label",
+    prediction: str = "prediction",
+    ts: str = "timestamp",
+    slices: Sequence[str] = (),
+) -> None:
+    """Add one batch of predictions to a stored profile; its rows alone are read.
+
+    The batch's state goes to a folder of its own, so a batch given again replaces itself and
+    counts once. A batch without rows adds nothing.
+    """
+    state = profile_state(batch, granularity, model, label, prediction, ts, slices)
+    state.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={int(batch_id)}")
+
+
+def read_profile(
+    spark: SparkSession,
+    path: str,
+    granularity: str = "1 day",
+    slices: Sequence[str] = (),
+    log_type: str = PRIMARY_LOG,
+) -> DataFrame:
+    """The profile of all batches so far, equal to `quality_profile` on all their rows."""
+    states = merge_profile_states(spark.read.parquet(path), slices)
+    return profile_of_state(states, granularity, slices, log_type)
+
+
 def column_profile(
     df: DataFrame,
     columns: Sequence[str],

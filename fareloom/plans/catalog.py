@@ -577,6 +577,18 @@ def quality_profile(spark, d):
     return rounded(_flat_window(df), *METRICS)
 
 
+@query
+def quality_profile_incremental(spark, d):
+    """Three batches that cut through days, models and ZIPs, one of them given twice."""
+    log = _predictions(spark, d).withColumn("_part", F.pmod(F.hash("timestamp"), F.lit(3)))
+    path = scratch_path(spark, "profile")
+    for batch in (0, 1, 2, 1):
+        part = log.where(F.col("_part") == batch).drop("_part")
+        quality.update_profile(part, path, batch, slices=("pickup_zip",))
+    df = quality.read_profile(spark, path, slices=("pickup_zip",))
+    return rounded(_flat_window(df), *METRICS)
+
+
 @query
 def column_profile(spark, d):
     df = quality.column_profile(_trips(spark, d), ("trip_distance", "fare_amount"), PICKUP)

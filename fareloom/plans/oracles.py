@@ -496,6 +496,9 @@ GROUP BY GROUPING SETS ((window_start, model_id), (window_start),
 )
 
 
+ORACLES["quality_profile_incremental"] = ORACLES["quality_profile"]
+
+
 def _column(c: str) -> str:
     return f"""
 SELECT CAST(DATE_TRUNC('day', tpep_pickup_datetime) AS TIMESTAMP) AS window_start,

@@ -244,3 +244,37 @@ def test_r2_of_large_labels(spark):
     r = got.filter("model_id = '*' and slice_key is null").first()
     p, y = (np.array([x[k] for x in rows]) for k in (3, 4))
     assert r["r2_score"] == pytest.approx(1 - ((p - y) ** 2).sum() / ((y - y.mean()) ** 2).sum(), rel=1e-6)
+
+
+def test_profile_of_batches_equals_one_run(spark, tmp_path):
+    """Labels around 1e9, rows without labels, a model that comes late, a batch run again, an empty one."""
+    rng = np.random.default_rng(11)
+    rows = [
+        (
+            dt(2024, 1, 1 + int(rng.integers(0, 3)), int(rng.integers(0, 24))),
+            None if i % 17 == 0 else str(int(rng.integers(0, 3))),
+            None if i % 13 == 0 else 1e9 + float(rng.normal(0, 5)),
+            None if i % 29 == 0 else 1e9 + float(rng.normal(0, 5)),
+            int(rng.integers(0, 4)),
+        )
+        for i in range(900)
+    ]
+    schema = "timestamp timestamp, model_id string, label double, prediction double, zip int"
+    batches = [rows[:500], rows[500:520], rows[520:], []]
+    path = str(tmp_path / "profile")
+    for i in (0, 1, 2, 3, 1):
+        quality.update_profile(spark.createDataFrame(batches[i], schema), path, i, slices=("zip",))
+    keys = ["window", "model_id", "slice_key", "slice_value"]
+
+    def by_key(df):
+        return {tuple(r[k] for k in keys): r for r in df.collect()}
+
+    got = by_key(quality.read_profile(spark, path, slices=("zip",)))
+    want = by_key(quality.quality_profile(spark.createDataFrame(rows, schema), slices=("zip",)))
+    assert set(got) == set(want) and len(got) > 40
+    for k, w in want.items():
+        for name, value in w.asDict().items():
+            if isinstance(value, float):
+                assert got[k][name] == pytest.approx(value, rel=1e-6), (k, name)
+            else:
+                assert got[k][name] == value, (k, name)
