@@ -802,8 +802,10 @@ def boosted_stump(spark, d):
 
 @query
 def tune_boosted(spark, d):
+    """Four draws: five trees each, ten for the better two, twenty for the best."""
     train, _ = _learning_frames(spark, d)
-    _, trials = models.tune_boosted(_with_held_out(train), models.FEATURES, "held")
+    frame = _with_held_out(train)
+    _, trials = models.tune_boosted(frame, models.FEATURES, "held", rounds=20, first=5)
     return spark.createDataFrame(
         trials, "leaves int, rate double, min_child int, grown int, rounds int, rmse double"
     )
@@ -811,13 +813,13 @@ def tune_boosted(spark, d):
 
 @query
 def compare_families(spark, d):
-    """Boosted trees, a line and the k nearest rows on the same hold-out rows."""
+    """Twenty boosted trees, a line and the k nearest rows on the same hold-out rows."""
     train, test = _learning_frames(spark, d)
     return models.compare_models(
         _with_held_out(train),
         test,
         models.FEATURES,
-        params={"boosted": {"held_out": "held"}},
+        params={"boosted": {"held_out": "held", "rounds": 20}},
         families=("boosted", "elastic_net", "k_nearest"),
     )
 
