@@ -164,16 +164,12 @@ def _bucket_counts(rows: DataFrame):
 
 
 def _first_block(texts: DataFrame, counts, words: int, percent: int) -> DataFrame:
-    """gram, class, pos, prev: every class's rarest n-grams in order, one row each.
-
-    `prev` is the n-gram before, the last one for pos 0. A task sends a class once.
-    """
+    """gram, class, pos: every class's rarest n-grams in order, one row each. A task sends a class once."""
     schema = StructType(
         [
             StructField("gram", LongType()),
             StructField("class", LongType()),
             StructField("pos", IntegerType()),
-            StructField("prev", LongType()),
         ]
     )
     shared = texts.sparkSession.sparkContext.broadcast(counts)
@@ -184,7 +180,7 @@ def _first_block(texts: DataFrame, counts, words: int, percent: int) -> DataFram
         make, count, sent = set_maker(words), shared.value, set()
         mask = np.uint64(COUNT_BUCKETS - 1)
         for batch in batches:
-            grams, classes, places, before = [], [], [], []
+            grams, classes, places = [], [], []
             for text in batch.column(1).to_pylist():
                 own = make(text or b"")
                 n = len(own)
@@ -194,19 +190,29 @@ def _first_block(texts: DataFrame, counts, words: int, percent: int) -> DataFram
                 sent.add(key)
                 keep = n - (percent * n + 99) // 100 + 1
                 order = np.lexsort((own, count[(own & mask).astype(np.int64)]))[:keep]
-                rarest = own[order].view(np.int64)
-                grams.append(rarest)
-                before.append(np.roll(rarest, 1))
+                grams.append(own[order].view(np.int64))
                 classes.append(np.full(keep, key, np.int64))
                 places.append(np.arange(keep, dtype=np.int32))
             if grams:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in (grams, classes, places, before)], names=schema.names
+                    [pa.array(np.concatenate(c)) for c in (grams, classes, places)], names=schema.names
                 )
 
     return texts.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _with_prev(column: DataFrame) -> DataFrame:
+    """Adds `prev`, the n-gram before in a class's order; null if it is not among these rows.
+
+    A column left out has no two components under it, so no pair looked for here has met there.
+    """
+    order = Window.partitionBy("class").orderBy("pos")
+    before = F.lag(F.struct("gram", "pos")).over(order)
+    column = column.withColumn("before", before)
+    prev = F.when(F.col("before.pos") == F.col("pos") - 1, F.col("before.gram"))
+    return column.withColumn("prev", prev).drop("before")
+
+
 def _needed_texts(texts: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """class, text of one document for each class in `pairs`.
 
@@ -330,7 +336,7 @@ def jaccard_components(
     # xor n-gram.
     other, row = F.col("class").bitwiseXOR(F.col("gram")), F.struct("class", "pos", "n", *SKETCH)
     pivots = F.array(F.min_by(row, other).over(by_gram), F.max_by(row, other).over(by_gram))
-    first = _end(column.drop("prev").withColumn("pivots", pivots), "a")
+    first = _end(column.withColumn("pivots", pivots), "a")
     first = first.withColumn("pivot", F.explode("pivots_a")).drop("pivots_a")
     first = first.withColumn("b", F.col("pivot.class")).withColumns(
         {f"{c}_b": F.col(f"pivot.{c}") for c in ("pos", "n", *SKETCH)}
@@ -348,9 +354,9 @@ def jaccard_components(
     column = column.withColumn("component", F.coalesce("component", "class")).withColumns(
         {"low": F.min("component").over(by_gram), "high": F.max("component").over(by_gram)}
     )
-    column = column.filter("low <> high").drop("low", "high")
+    column = _with_prev(column.filter("low <> high").drop("low", "high"))
     second = _end(column, "a").join(_end(column, "b"), "gram")
-    unmet = F.expr("pos_a = 0 or pos_b = 0 or prev_a <> prev_b")
+    unmet = F.expr("coalesce(prev_a <> prev_b, true)")
     second = second.filter(F.expr("a > b and component_a <> component_b") & unmet & _can_link(percent))
     second = second.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     second = stage(second, "pairs")
