@@ -144,3 +144,12 @@ def test_odd_rows(spark):
     assert model.transform(df.limit(0)).count() == 0
     with pytest.raises(Exception):
         models.fit_random_forest(df.where("id = 2"), ("a",), trees=2)
+
+
+def test_comparison_takes_the_forest(hills):
+    train, test = hills
+    params = {"random_forest": {"trees": 10}, "gbt": {"rounds": 3}}
+    rows = models.compare_models(train, test, X, params=params).collect()
+    assert {r["model"] for r in rows} == set(models.MODELS)
+    assert rows[0]["model"] == "random_forest" and rows[0]["rmse"] < 2.0
+    assert isinstance(models.MODELS["random_forest"](), forest.ForestRegressor)
