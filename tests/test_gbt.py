@@ -81,3 +81,13 @@ def test_odd_labels(spark):
     # One label far off leaves the others their differences.
     near = fitted([0.0, 1.0] * 20 + [1e9])
     assert near[40.0] == pytest.approx(1e9) and abs(near[39.0]) < 1e3
+
+
+def test_a_search_prepares_its_rows_once(hills, monkeypatch):
+    prepared, begin = [], gbt._Prepared.__init__
+    monkeypatch.setattr(gbt._Prepared, "__init__", lambda self, *a: prepared.append(1) or begin(self, *a))
+    model, trials = models.tune(hills, X, rounds=2)
+    assert len(prepared) == 2  # for all draws, and for the best one on all rows
+    best = min(trials, key=lambda t: t["rmse"])
+    assert model.stages[-1].getOrDefault("minInstancesPerNode") == best["min_child"]
+    assert len(trials) == 4 and len({t["rmse"] for t in trials}) > 1
