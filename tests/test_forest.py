@@ -71,6 +71,33 @@ def test_one_full_tree_of_distinct_rows_knows_its_labels():
     assert len(forest._grown(x, np.full(400, 0.1), w, 0, 1, 30, 1, 2, 33, 3)[0]) == 1
 
 
+def test_small_nodes_cost_what_their_rows_cost(monkeypatch):
+    """Most nodes have few rows; looking at all bins of each was most of a tree's time."""
+    rng, looked_at, best = np.random.default_rng(6), [], forest._best_splits
+    x, y = rng.integers(1, 33, (6000, 7)).astype(np.uint8), rng.normal(size=6000)
+    monkeypatch.setattr(forest, "_best_splits", lambda n, *a: looked_at.append(n.size) or best(n, *a))
+    feature, _, values = forest._grown(x, y, np.ones(6000), 0, 1, 30, 1, 3, 33, 3)
+    assert 5900 < len(values) == (feature < 0).sum()
+    assert sum(looked_at) < 300_000  # with all bins of every node 1.2 million
+
+
+def test_empty_bins_change_no_split():
+    rng = np.random.default_rng(7)
+    for most, width, values in ((3, 33, 2), (1, 33, 1000), (2, 2, 3), (3, 34, 5)):
+        sizes = rng.integers(2, 60, 500)
+        node = np.repeat(np.arange(500), sizes)
+        bins = rng.integers(0, width, (most, len(node))) * (rng.random((most, len(node))) < 0.7)
+        w, y = rng.integers(1, 4, len(node)).astype(float), rng.integers(0, values, len(node)) * 0.1
+        starts = np.cumsum(sizes) - sizes
+        spread, off = np.add.reduceat(w * y * y, starts), w * y
+        for min_child in (1, 9):
+            want = forest._full_splits(bins, node, w, off, spread, min_child, width)
+            got = forest._compact_splits(bins, node, w, off, starts, spread, min_child)
+            found = want[0]
+            assert (got[0] == found).all() and 0 < found.sum() or values == 1
+            assert all((a[found] == b[found]).all() for a, b in zip(want[1:], got[1:]))
+
+
 def test_first_split_is_the_best_one():
     rng = np.random.default_rng(2)
     x = rng.integers(1, 9, (300, 2)).astype(np.uint8)
