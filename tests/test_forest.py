@@ -81,6 +81,21 @@ def test_small_nodes_cost_what_their_rows_cost(monkeypatch):
     assert sum(looked_at) < 300_000  # with all bins of every node 1.2 million
 
 
+def test_nodes_grown_one_after_the_other_make_the_same_tree(monkeypatch):
+    rng = np.random.default_rng(12)
+    x, y, w = rng.integers(1, 12, (2000, 4)).astype(np.uint8), rng.normal(size=2000), rng.integers(1, 4, 2000) * 1.0
+    sizes, real = [], forest._compact_splits
+    monkeypatch.setattr(forest, "_compact_splits", lambda bins, *a: sizes.append(bins.shape[1]) or real(bins, *a))
+    for depth, min_child in ((30, 1), (7, 1), (30, 5)):
+        monkeypatch.setattr(forest, "NEAR_ROWS", 1 << 17)
+        whole = forest._grown(x, y, w, 2, 3, depth, min_child, 2, 33, 3)
+        monkeypatch.setattr(forest, "NEAR_ROWS", 60)
+        sizes.clear()
+        parts = forest._grown(x, y, w, 2, 3, depth, min_child, 2, 33, 3)
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(whole, parts))
+        assert max(sizes) < 64  # rows of a step, or of one node
+
+
 def test_empty_bins_change_no_split():
     rng = np.random.default_rng(7)
     for most, width, values in ((3, 33, 2), (1, 33, 1000), (2, 2, 3), (3, 34, 5)):
